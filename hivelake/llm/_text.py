@@ -125,13 +125,13 @@ def runs_of(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     counts = words.counts()
     last = np.cumsum(counts)[words.row] if n else np.zeros(0, np.int64)  # the index after the row's last word
     at = np.arange(n)
-    scale = np.uint64(1)
+    scale = 1
     for j in range(k):
         part = np.zeros(n, np.uint64)
         part[: n - j] = h[j:]
         part[at + j >= last] = 0
-        total += mix(part + np.uint64(j + 1)) * scale
-        scale = scale * _BASE if j < k - 1 else scale
+        total += mix(part + np.uint64(j + 1)) * np.uint64(scale)
+        scale = scale * int(_BASE) % (1 << 64)
     short = counts[words.row] < k if n else np.zeros(0, bool)
     first = at == last - counts[words.row] if n else np.zeros(0, bool)
     keep = (at + k <= last) | (short & first)
