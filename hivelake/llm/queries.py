@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax_dedup, url_filter, warc
+from . import brown_lm, minmax_dedup, url_filter, warc
 from ._workers import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ FROM owned
 """
 
 
+@query
+def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score_held_out(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(table(spark, sf_dir, "documents"))
