@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, minmax_dedup, url_filter, warc
+from . import brown_lm, decontaminate, minmax_dedup, url_filter, warc
 from ._workers import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,34 @@ def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op10_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+),
+dt AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+bt AS (SELECT item_id, len(w) AS size, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM b WHERE len(w) >= 5),
+eq AS (
+  SELECT doc_id, n, item_id, size, dt.pos - bt.pos AS shift, bt.pos AS j, least(13, size) AS width,
+    CASE WHEN size >= 13 THEN 11 ELSE size END AS need
+  FROM dt JOIN bt ON dt.word = bt.word
+),
+near AS (SELECT * FROM eq QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= need),
+placed AS (SELECT *, unnest(range(j - width + 1, j + 1)) AS s FROM near),
+windows AS (
+  SELECT doc_id, item_id, shift, s, width, count(*) AS n_equal FROM placed
+  WHERE s >= 0 AND s + width <= size AND s + shift >= 0 AND s + shift + width <= n
+  GROUP BY doc_id, item_id, shift, s, width, need HAVING count(*) >= need
+)
+SELECT doc_id, item_id, CAST(min(s + shift) AS BIGINT) AS first_word, CAST(max(s + shift + width - 1) AS BIGINT) AS last_word,
+  CAST(max(n_equal) AS BIGINT) AS best_equal
+FROM windows GROUP BY doc_id, item_id
+"""
