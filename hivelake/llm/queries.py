@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decontaminate, minmax_dedup, url_filter, warc
+from . import brown_lm, decontaminate, minmax_dedup, toxicity, url_filter, warc
 from ._workers import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ SELECT doc_id, item_id, CAST(min(s + shift) AS BIGINT) AS first_word, CAST(max(s
   CAST(max(n_equal) AS BIGINT) AS best_equal
 FROM windows GROUP BY doc_id, item_id
 """
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
