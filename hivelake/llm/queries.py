@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decision_list, decontaminate, minmax_dedup, toxicity, url_filter, warc
+from . import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, toxicity, url_filter, warc
 from ._workers import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(table(spark, sf_dir, "documents"))
