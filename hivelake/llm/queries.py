@@ -7,9 +7,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, toxicity, url_filter, warc
+from . import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, sentencepiece_codec, token_output, toxicity, url_filter, warc
 from ._workers import importable
 
+#: Where the public tokenizers lie on every machine.
+BYTE_PAIRS, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +93,11 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer(BYTE_PAIRS))
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find(table(spark, sf_dir, "documents"))
@@ -94,6 +108,11 @@ def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), tokenizer(PIECES))
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
