@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._sample import smallest_hashes
 from ._scratch import remove, written
 from ._text import WHITE, Words, mix, powers, slices, text_bytes, words_of
 
@@ -210,11 +211,12 @@ def verdict(rules: Sequence[Rule]) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, train_rows: int = TRAIN_ROWS) -> list[Rule]:
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("good"))
-    chosen = written(known.orderBy(F.xxhash64("id"), "id").limit(train_rows), "labelled")
+    chosen = written(smallest_hashes(known, "id", train_rows), "labelled")
     texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"], "left_semi")
     counted = statistics(texts, id_col, text_col).join(F.broadcast(chosen), "id")
     names = list(measures())
-    rows = counted.select("id", "good", *(c.alias(k) for k, c in measures().items())).orderBy(F.xxhash64("id"), *names).toPandas()
+    rows = counted.select("id", "good", *(c.alias(k) for k, c in measures().items())).toPandas().sort_values(["id", *names])
+    rows = rows.sample(frac=1, random_state=0)  # an order that has nothing to do with the ids
     remove(chosen)
     return learn({k: rows[k].to_numpy(float) for k in names}, rows["good"].to_numpy() == 0)
 
