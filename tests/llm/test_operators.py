@@ -1,0 +1,458 @@
+"""Each operator against a brute-force version on small tables, with the odd rows that any table may hold."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from hivelake.llm import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, sentencepiece_codec, token_output, toxicity, url_filter, warc
+from hivelake.llm._graph import components
+from hivelake.llm.queries import BYTE_PAIRS, PIECES, tokenizer
+
+SCHEMA = "doc_id long, text string, h string, id string, words string, part int"
+ODD = ["", None, " ", "\n", "one", "two words", "a b c d e", "a b c d e", "Été à\u00a0Paris 😀", "x" * 5000, "tab\tand\r\nline", "<|endoftext|> ▁ mark", "  two  blanks  "]
+
+
+def frame(spark, rows):
+    """Documents with columns whose names clash with what the operators use inside."""
+    return spark.createDataFrame([(i, t, "h", "id", "w", 1) for i, t in rows], SCHEMA)
+
+
+def words(text):
+    return [w.decode() for w in (text or "").encode().lower().split()]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    rows = list(enumerate(ODD))
+    for i in range(len(ODD), 160):
+        rows.append((i, " ".join(rng.choice(vocabulary) + rng.choice(("", "", ".", ",", "\n")) for _ in range(rng.randint(1, 120)))))
+    base = rows[40][1].split()
+    for i in range(160, 200):  # near copies of one text, at many distances
+        own = list(base)
+        for _ in range((i - 160) // 6):
+            own[rng.randrange(len(own))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# 1
+
+def host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def test_url_rules_and_exact_membership(spark):
+    rng = random.Random(1)
+    hosts = [f"{a}.{b}.{c}" for a in ("www", "m", "a-b") for b in ("example", "spam", "good", "casino-win.example") for c in ("org", "com", "net")]
+    urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.org/es/1", "x://h?q", "x://h#f", "a://b://c/d", "http://é.com/fr/", "http://example.org\n/es/"]
+    urls += [f"http://{rng.choice(hosts)}/{rng.choice(('es/', 'en/12', 'fr/x', 'de/', ''))}{rng.choice(('', '?q=/de/', '#top'))}" for _ in range(300)]
+    df = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate([*urls, *urls[:5]])], "page_id long, url string, host string, rule string")
+    listed = ["spam.com", "www.good.net", "absent.example"]
+    got = url_filter.judge_urls(df, listed=listed).collect()
+    assert len(got) == len(urls) + 5
+    for r in got:
+        host, path = host_path(urls[r.page_id % len(urls)])
+        fits = [(x, v) for x, v in url_filter.RULES if (host == x.split("/")[0] or host.endswith("." + x.split("/")[0])) and path.startswith("/" + x.split("/", 1)[1])]
+        rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, None))
+        blocked = any(host == d or host.endswith("." + d) for d in listed)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or ("block" if blocked else "allow"))
+    # the same by shards that are not broadcast
+    again = url_filter.judge_urls(df, listed=listed, broadcast_bytes=0, shard_keys=8).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
+    assert url_filter.judge_urls(df.limit(0)).count() == 0
+
+
+def test_cascade_is_exact_for_its_universe():
+    keys = [f"k{i}" for i in range(20_000)]
+    hashes = url_filter.key_hashes(keys)
+    for n in (0, 1, 300, 19_999, 20_000):
+        levels = url_filter.cascade_levels(hashes[:n], hashes[n:])
+        assert (url_filter.cascade_lookup(levels, hashes) == (np.arange(20_000) < n)).all()
+    assert len(levels) <= 2
+
+
+# 2
+
+def test_warc_round_trip(spark, tmp_path):
+    long = "<p>" + "x" * 200
+    rows = [(3, "u3", long), (1, "u1", long), (2, None, "short"), (4, "u4", "short"), (5, "u5", None), (6, "u6", ""), (7, "u\r\n7", "é\r\n\r\nWARC/1.1" * 20), (None, "n", long), (8, "u8", "solo" * 50), (8, "u8", "solo" * 50)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, digest string")
+    path = str(tmp_path / "archive")
+    got = {r.page_id: r for r in warc.archive_round_trip(df, path=path).collect() if r.page_id is not None}
+    for i, _, html in rows:
+        if i is None:
+            continue
+        raw = (html or "").encode()
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len(raw), hashlib.sha256(raw).hexdigest())
+    assert [(got[i].record_type, got[i].refers_to) for i in (1, 3, 2, 4, 8)] == [("response", None), ("revisit", 1), ("response", None), ("response", None), ("response", None)]
+    assert spark.read.parquet(f"{path}/payloads").count() == len({r[2] or "" for r in rows})
+    for r in warc.read_records(spark, path).collect():
+        head, body = bytes(r.record).split(b"\r\n\r\n", 1)
+        size = int(re.search(rb"Content-Length: (\d+)", head)[1])
+        assert body == (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n" and size == len(body) - 4
+    warc.export_warc(spark, path, str(tmp_path / "warc"), compression="none")
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "warc").glob("part-*")))
+    count = at = 0
+    while at < len(raw):
+        end = raw.index(b"\r\n\r\n", at)
+        size = int(re.search(rb"Content-Length: (\d+)", raw[at:end])[1])
+        assert raw[at:].startswith(b"WARC/1.1\r\n") and raw[end + 4 + size : end + 8 + size] == b"\r\n\r\n"
+        at, count = end + 8 + size, count + 1
+    assert count == len(rows)
+    assert warc.archive_round_trip(df.limit(0)).count() == 0
+
+
+# 3
+
+def test_brown_model_counts_and_probability(spark, texts):
+    rows = [*texts, (None, "null id"), (20, texts[20][1])]
+    got = brown_lm.score_held_out(frame(spark, rows), exchange_words=40, exchange_classes=8, frequent_words=64).collect()
+    assert len(got) == len(rows)
+    tokens = {i: [*words(t), None] for i, t in rows}
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i in tokens}
+    count = collections.Counter()
+    for i, t in rows:
+        if not held[i]:
+            count.update([*words(t), None])
+    n, v = sum(count.values()), len(count)
+    for r in got:
+        t = tokens[r.doc_id]
+        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(count[w] > 0 for w in t), n)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score <= 0
+    none = brown_lm.score_held_out(frame(spark, [(i, "a b") for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1])).first()
+    assert none.train_tokens == 0 and none.n_known == 0
+    assert brown_lm.score_held_out(empty(spark)).count() == 0
+
+
+def test_exchange_raises_likelihood():
+    rng = np.random.default_rng(0)
+    kind = np.arange(30) % 3  # three hidden classes that follow each other in turn
+    bigrams = np.zeros((31, 31))
+    for _ in range(20_000):
+        a = rng.integers(30)
+        b = rng.choice(np.flatnonzero(kind == (kind[a] + 1) % 3))
+        bigrams[a, b] += 1
+    label = brown_lm.exchange(bigrams, 30, 3)
+    assert all(len(set(label[:30][kind == k])) == 1 for k in range(3)) and label[30] == 3
+
+
+# 4
+
+def stats(text):
+    text = text or ""
+    w = [x.decode() for x in text.encode().split()]
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if line.encode().split():
+            again += line in seen
+            seen.add(line)
+    triples = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+    marked = {j for k in range(len(w) - 2) if triples[tuple(w[k : k + 3])] > 1 for j in (k, k + 1, k + 2)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), again, len(marked)
+
+
+def test_quality_statistics(spark, texts):
+    rows = [*texts, (None, "null id"), (900, "a b c\na b c\na b c\n \nx\nx"), (901, "one\ntwo\r\none\n\n\none "), (902, ("l # & " * 9 + "\n") * 40)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 150, 3)] + [(None, 1, 1), (6, None, None), (6, 0, 0)], "doc_id long, quality int, toxic int")
+    got = decision_list.judge_all(frame(spark, rows), labels).collect()
+    assert len(got) == len(rows)
+    by = dict(rows)
+    for r in got:
+        want = stats(by[r.doc_id])
+        assert tuple(r)[1:6] == want
+        failed = want[0] < 50 or 100 * want[4] > 50 * want[0]
+        assert r.base_failed == failed and not (failed and r.kept)
+    assert decision_list.judge_all(empty(spark), labels).count() == 0
+    assert decision_list.judge_all(frame(spark, rows), labels.limit(0)).where("not base_failed and not kept").count() == 0
+
+
+def test_decision_list_finds_conjunctions():
+    rng = np.random.default_rng(3)
+    x = {"a": rng.random(3000), "b": rng.random(3000), "c": rng.random(3000)}
+    poor = ((x["a"] > 0.7) & (x["b"] < 0.4)) | (x["c"] > 0.95)
+    rules = decision_list.learn(x, poor)
+    hit = np.zeros(3000, bool)
+    for rule in rules:
+        hit |= decision_list._covered(rule, x, 3000)
+    assert (hit == poor).mean() > 0.97 and (poor & hit).sum() / hit.sum() > 0.97
+
+
+# 5 and 9
+
+def test_token_file(spark, texts, tmp_path):
+    rows = [*texts, (None, "null id"), (20, texts[20][1]), (-5, "before all")]
+    path = tokenizer(BYTE_PAIRS)
+    out = str(tmp_path / "tokens")
+    got = token_output.round_trip(frame(spark, rows), path, path=out).collect()
+    library = token_output.encoder(path).library
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    start, want = 0, []
+    for i, t in order:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(map(tuple, got), key=key) == want
+    one = token_output.read_tokens(spark, out).where("id = 30")
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,30)" in one._jdf.queryExecution().toString() or one.count() == 1
+    assert token_output.round_trip(empty(spark), path).count() == 0
+
+
+def test_tokenizers_by_word_equal_whole_texts():
+    rng = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "é", "▁", "日", "\u00a0", "\u3000", "'s", "9", "!", "😀", " the", "\x1c", "\x85", "<|endoftext|>", "\r\n", "\u200b"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)] + [t or "" for t in ODD]
+    pairs, pieces = token_output.encoder(tokenizer(BYTE_PAIRS)), sentencepiece_codec.codec(tokenizer(PIECES))
+    for t in texts:
+        assert np.frombuffer(pairs.encode(t), "<u4").tolist() == pairs.library.encode(t, add_special_tokens=False).ids
+        ids, said = pieces.encode(t)
+        assert ids.tolist() == [*pieces.library.encode(t), pieces.end] and said == " ".join(map(str, ids.tolist()))
+        spans, raw = pieces.spans(t, ids), t.encode()
+        assert b"".join(raw[a:b] for a, b in spans) == raw
+
+
+def test_sentencepiece_digests(spark, texts):
+    rows = [*texts, (None, "null id"), (20, texts[20][1])]
+    got = sentencepiece_codec.digests(frame(spark, rows), tokenizer(PIECES)).collect()
+    library, by = sentencepiece_codec.codec(tokenizer(PIECES)).library, dict(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        ids = library.encode(by[r.doc_id] or "", add_eos=True)
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        assert tuple(r)[1:] == (len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids)))
+    encoded = sentencepiece_codec.encode(frame(spark, rows), tokenizer(PIECES))
+    back = sentencepiece_codec.decode(encoded, tokenizer(PIECES)).collect()
+    assert all(r.text == library.decode(library.encode(by[r.doc_id] or "")) for r in back)
+    assert sentencepiece_codec.digests(empty(spark), tokenizer(PIECES)).count() == 0
+
+
+def test_compiled_character_map_equals_the_library():
+    from sentencepiece import SentencePieceNormalizer
+    from sentencepiece.sentencepiece_model_pb2 import NormalizerSpec
+
+    library = SentencePieceNormalizer(rule_name="nmt_nfkc")
+    spec = NormalizerSpec()
+    spec.ParseFromString(library.serialized_normalizer_spec())
+    own = sentencepiece_codec.Normaliser(sentencepiece_codec.CharacterMap(spec.precompiled_charsmap), spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces)
+    for t in ["ﬁne ①x", "  a  b ", "", "   ", "Å ㌔ ｶﾞ", "e\u0301", "x\ty\u00adz", "日本 語", "\u200bq"]:
+        out, origin = own.normalise(t.encode())
+        assert out.decode() == library.normalize(t)
+        assert len(origin) == len(out) + 1 and (np.diff(origin) >= 0).all()
+
+
+# 6
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_spans(t):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out = [(*m.span(), "email") for m in EMAIL.finditer(t)]
+    out += [(*m.span(), "ip") for m in IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(*m.span(), "card") for m in CARD.finditer(t) if 14 <= len(digits(m[0])) <= 19 and pii_crf.luhn(digits(m[0]))]
+    out += [(*m.span(), "phone") for m in PHONE.finditer(t) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(out, key=lambda s: (s[0], pii_crf.KINDS.index(s[2])))
+
+
+def test_patterns_and_field(spark):
+    rng = random.Random(1)
+    noise = ["".join(rng.choice("1234567890.@+- ()ab%_,\n") for _ in range(60)) for _ in range(4000)]
+    for t in noise:
+        assert pii_crf.pattern_spans(t) == plain_spans(t)
+    pii_crf.pattern_spans("a" * 200_000 + "@" + "1" * 200_000 + "." * 1000)  # linear in long runs
+    model = pii_crf.train(pii_crf.example_rows())
+    held = pii_crf.example_rows(200, seed=11)
+    found = model.decode([a for a, _ in held])
+    right = sum([pii_crf.TAGS[y] for y in p] == b for p, (_, b) in zip(found, held, strict=True))
+    assert right >= 190
+    secret = "0123456789abcdef0123456789abcdef"
+    rows = [*enumerate(ODD), (50, f'é token = "{secret}" mail a.b@c.de, +1 (275) 555-7228'), (51, "License, Version 2.0."), (None, "x@y.zz"), (50, "again 10.0.0.1")]
+    got = pii_crf.find(frame(spark, rows), model=model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        same = [t or "" for i, t in rows if i == r.doc_id]
+        base = [s for s in map(plain_spans, same) if hashlib.sha256(pii_crf.joined(s).encode()).hexdigest() == r.base_sha256]
+        assert base and r.n_email == sum(s[2] == "email" for s in base[0]) and r.n_phone == sum(s[2] == "phone" for s in base[0])
+    spans = next(r.spans for r in got if r.doc_id == 50 and "secret" in r.spans)
+    start = rows[len(ODD)][1].index(secret)
+    assert spans == f"secret:{start}:{start + 32},email:50:58,phone:60:77"
+    assert next(r.spans for r in got if r.doc_id == 51) == ""
+    red = {r.doc_id: r.text for r in pii_crf.redact(frame(spark, rows[:-2]), model=model).collect()}
+    assert red[50] == 'é token = "[SECRET]" mail [EMAIL], [PHONE]' and red[1] is None and red[51] == rows[len(ODD) + 1][1]
+    assert pii_crf.find(empty(spark), model=model).count() == 0
+
+
+# 7
+
+def near_brute(rows, percent):
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    group = list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if shared and 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared) and None not in (rows[a][0], rows[b][0]):
+                group[find(a)] = find(b)
+    low = collections.defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        low[find(k)].append(i)
+    return [(i, len(sets[k]), i if i is None else min(low[find(k)])) for k, (i, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_near_groups(spark, texts, percent):
+    rows = [*texts, (None, texts[40][1]), (40, texts[40][1]), (500, texts[41][1]), (501, texts[41][1].upper())]
+    got = minmax_dedup.near_groups(frame(spark, rows), percent=percent).collect()
+    want = sorted(near_brute(rows, percent), key=str)
+    assert sorted((tuple(r)[:3] for r in got), key=str) == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert minmax_dedup.near_groups(empty(spark)).count() == 0
+
+
+def test_near_groups_in_many_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(own)))
+    monkeypatch.setattr(minmax_dedup, "BLOCK_CLASSES", 16)
+    got = minmax_dedup.near_groups(frame(spark, rows)).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(near_brute(rows, 85))
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 140)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(120)]
+    got = {r.v: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    low = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    assert got == low
+
+
+def test_bands_miss_few_pairs_at_the_threshold():
+    times, plus = minmax_dedup.permutations(minmax_dedup.bands_for(85) * 4)
+    rng = np.random.default_rng(1)
+    met = 0
+    for _ in range(200):
+        all_ = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        a, b = all_[:93], np.concatenate([all_[:85], all_[93:]])
+        keys = [minmax_dedup.band_keys(*(x[None] for x in minmax_dedup.min_max(s, times, plus)), 8)[0] for s in (a, b)]
+        met += (keys[0] == keys[1]).any()
+    assert met == 200
+
+
+# 8
+
+def test_toxicity_learns_from_other_folds_alone(spark):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    rows, labels = list(enumerate(ODD, 10_000)), []
+    for i in range(600):
+        bad = i % 5 == 0
+        text = [rng.choice(plain) for _ in range(60)] + (["zounds", "fopdoodle"] if bad else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        if i < 500:
+            labels.append((i, int(bad)))
+    labels += [(None, 1), (3, None), (7, 0)]
+    rows += [(None, "zounds you fopdoodle"), (5, rows[-1][1])]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.score_all(frame(spark, rows), table).collect()
+    assert len(got) == len(rows)
+    known = dict(labels)
+    for r in got:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 500 and known.get(r.doc_id) is not None]
+    assert sum(r.predicted == known[r.doc_id] for r in held) >= 0.97 * len(held)
+    assert next(r for r in got if r.doc_id is None).predicted == 1
+    flipped = spark.createDataFrame([(i, (1 - y) if y is not None and zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels if i is not None], "doc_id long, toxic int")
+    again = toxicity.score_all(frame(spark, rows), flipped).collect()  # labels of the held-out fold change nothing
+    assert {(r.doc_id, round(r.score, 9)) for r in got} == {(r.doc_id, round(r.score, 9)) for r in again}
+    assert toxicity.score_all(frame(spark, rows[:20]), table.limit(0)).where("predicted = 1").count() == 0
+    assert toxicity.score_all(empty(spark), table).count() == 0
+
+
+# 10
+
+def leak_brute(docs, items, window=13, need=11):
+    cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    out = {}
+    for d, t in docs:
+        w = cut(t)
+        for item, text in items:
+            b = cut(text)
+            if len(b) < 5:
+                continue
+            width, least = (window, need) if len(b) >= window else (len(b), len(b))
+            for s in range(len(b) - width + 1):
+                for at in range(len(w) - width + 1):
+                    n = sum(x == y for x, y in zip(b[s : s + width], w[at : at + width], strict=True))
+                    if n >= least:
+                        lo, hi, best = out.get((d, item), (at, at, 0))
+                        out[d, item] = (min(lo, at), max(hi, at + width - 1), max(best, n))
+    return {(k[0], k[1], *v) for k, v in out.items()}
+
+
+def test_leaks_with_substitutions(spark):
+    rng = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(40)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(n))) for k, n in enumerate((13, 20, 40, 8, 6, 5, 4, 9))] + [(20, None), (21, "")]
+    docs = [*enumerate(ODD, 1000)]
+    for i in range(150):
+        own = [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]
+        text = rng.choice(items[:8])[1].split()
+        for _ in range(rng.randint(0, 4)):
+            text[rng.randrange(len(text))] = "other"
+        at = rng.randint(0, len(own))
+        docs.append((i, " ".join([*own[:at], *(x.upper() + rng.choice(("", "!", ",")) for x in text), *own[at:]])))
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, pos string")
+    got = {tuple(r) for r in decontaminate.leaks(frame(spark, docs), bench).collect()}
+    assert got == leak_brute(docs, items) and len(got) > 60
+    assert {tuple(r) for r in decontaminate.leaks(frame(spark, docs), bench, broadcast_seeds=0).collect()} == got
+    clean = decontaminate.without_leaks(frame(spark, docs), bench)
+    assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {r[0] for r in got} and clean.columns == frame(spark, docs).columns
+    assert decontaminate.leaks(empty(spark), bench).count() == 0 and decontaminate.leaks(frame(spark, docs), bench.limit(0)).count() == 0
+
+
+def test_the_mask_hits_every_window_with_two_substitutions():
+    import itertools
+
+    mask = decontaminate.SPACED
+    for gone in itertools.combinations(range(13), 2):
+        assert any(all(o + m not in gone for m in mask) for o in range(13 - mask[-1]))
