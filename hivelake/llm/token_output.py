@@ -33,12 +33,23 @@ from ._chunks import ChunkCache
 from ._scratch import new_path
 
 END_ID = 0
+#: Words that a worker remembers in each of two generations, about 200 bytes each.
+REMEMBERED = 400_000
 #: Bytes of a row group and of a page, and of the largest dictionary.
 ROW_GROUP_BYTES, PAGE_BYTES, DICTIONARY_BYTES = 32 << 20, 64 << 10, 1 << 20
 
 
-#: A blank or line end beside white space, or at either end: there texts can't be cut.
-_NO_CUT = re.compile(r"^[ \n]|[ \n]\s|\s[ \n]|[ \n]$")
+#: White space other than blanks and line ends, and a blank or line end beside white space or at an end.
+_OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_NO_CUT = re.compile(r"^[ \n]|[ \n]\s|\s[ \n]|[ \n]\Z")
+_SEAMS = ("  ", " \n", "\n ", "\n\n")
+
+
+def can_cut(text: str) -> bool:
+    """Whether every blank and line end lies between two characters that are no white space."""
+    if any(c in text for c in _OTHER_SPACE):
+        return not _NO_CUT.search(text)
+    return text[:1] not in (" ", "\n", "") and text[-1] not in " \n" and not any(s in text for s in _SEAMS)
 
 
 def _byte_marks() -> dict[int, str]:
@@ -64,16 +75,18 @@ class BytePairEncoder:
         self.model, self.marks = self.library.model, _byte_marks()
         self.stops = {c: np.array([self.library.token_to_id(c)], "<u4").tobytes() for c in ".," if self.library.token_to_id(c) is not None}
         self.line_end = self.whole("\n")
-        self.words: ChunkCache[bytes] = ChunkCache(self._word)
+        self.words: ChunkCache[bytes] = ChunkCache(self._word, REMEMBERED)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a blank and ``word``, or of a line that begins with ``word``.
+        """Ids of a blank and ``word``, or of a line that begins with ``word``; none of nothing.
 
         The splitter keeps Latin letters in one, with the blank before them, and a stop after them apart.
         """
+        if not word:
+            return b""
         if word[0] == "\n":
             return self.line_end + (self._letters(word[1:], "") or self.whole(word[1:]))
         return self._letters(word, "\u0120") or self.whole(f" {word}")
@@ -86,10 +99,12 @@ class BytePairEncoder:
         return array("I", [t.id for t in self.model.tokenize(blank + marked)]).tobytes() + stop
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or _NO_CUT.search(text) or any(s in text for s in self.special):
+        if not self.by_word or not can_cut(text) or any(s in text for s in self.special):
             return self.whole(text)
-        first, *words = text.replace("\n", " \n").split(" ")  # a line end stays at the head of its line
-        return self.whole(first) + b"".join(map(self.words.__getitem__, words))
+        words = text.replace("\n", " \n").split(" ")  # a line end stays at the head of its line
+        first = words[0]
+        words[0] = ""
+        return (self._letters(first, "") or self.whole(first)) + b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
