@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._sample import from_the_top, smallest_hashes
 from ._scratch import remove, written
-from ._text import LOWER, powers, slices, text_bytes
+from ._text import LOWER, SLICE_BYTES, powers, slices, text_bytes
 
 #: Characters of the n-grams, with the marks.
 SIZES = (3, 4, 5, 6, 7)
@@ -85,7 +86,7 @@ def _grams(points: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, n
 def features(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, row after the last, row, feature)`` of slices of a text column; each feature once a row."""
     raw, offsets = text_bytes(column)
-    for a, b in slices(offsets):
+    for a, b in slices(offsets, SLICE_BYTES if wanted is not None else SLICE_BYTES // 8):  # all n-grams take more room
         points, at = _characters(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         h, place = _grams(points, wanted)
         row = np.searchsorted(at[1:], place, "right")
@@ -164,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & labelled_for_training(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
-    chosen = written(known.orderBy(F.xxhash64("id"), "id").limit(train_rows), "labelled")
+    chosen = written(smallest_hashes(known, "id", train_rows), "labelled")
     texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select("toxic", F.col(text_col).alias("text"))
     texts = written(texts.repartition(8), "train")
     n_by = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
@@ -176,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = texts.mapInArrow(_gram_counts, "feature int, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share = (F.col("toxic") + F.col("clean")) / F.lit(float(p + q))
     surprise = F.abs(F.col("toxic") - share * p) / F.sqrt(share * (1 - share) * (p * q / (p + q)) + 1e-9)
-    best = counts.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).orderBy(F.desc(surprise), "feature").limit(kept).toPandas().sort_values("feature")
+    counts = written(counts.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS), "grams")
+    best = from_the_top(counts, F.floor(surprise * 256).cast("int"), kept).toPandas().sort_values("feature")
     chosen_h = best["feature"].to_numpy()
     ratio = np.log((best["toxic"].to_numpy() + 1) / (p + 2)) - np.log((best["clean"].to_numpy() + 1) / (q + 2))
     wanted = np.zeros(1 << BITS, bool)
@@ -188,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     columns = np.searchsorted(chosen_h, np.concatenate(held))
     w, intercept = logistic(rows, columns, ratio, np.array([r["toxic"] for r in sparse], float))
     weights[chosen_h] = w * ratio
-    remove(texts, chosen)
+    remove(texts, chosen, counts)
     return ToxicityModel(weights, intercept)
 
 
