@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -35,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE), np.full(n, _INVERSE)
     up[0] = down[0] = 1
@@ -43,7 +43,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(SLICE_BYTES if n <= SLICE_BYTES else 1 << (n - 1).bit_length())
+    return _powers(max(2 * SLICE_BYTES, 1 << (n - 1).bit_length()))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +112,7 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, *, lower: bool) -> Words:
 
 
 def word_slices(column: pa.Array, *, lower: bool) -> Iterator[tuple[int, int, Words]]:
-    """``(first row, row after the last, words)`` for runs of rows of about a megabyte."""
+    """``(first row, row after the last, words)`` for runs of rows of about ``SLICE_BYTES``."""
     raw, offsets = text_bytes(column)
     for a, b in slices(offsets):
         yield a, b, words_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=lower)

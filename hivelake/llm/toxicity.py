@@ -86,7 +86,7 @@ def _grams(points: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, n
 def features(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, row after the last, row, feature)`` of slices of a text column; each feature once a row."""
     raw, offsets = text_bytes(column)
-    for a, b in slices(offsets, SLICE_BYTES if wanted is not None else SLICE_BYTES // 8):  # all n-grams take more room
+    for a, b in slices(offsets, SLICE_BYTES if wanted is not None else SLICE_BYTES // 2):  # all n-grams take more room
         points, at = _characters(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         h, place = _grams(points, wanted)
         row = np.searchsorted(at[1:], place, "right")
