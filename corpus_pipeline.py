@@ -58,10 +58,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, starts, ends, decoded)`` of every document."""
     importable(spark)
-    model = tokenizer(PIECES)
-    encoded = sentencepiece_codec.encode(docs, model)
-    decoded = sentencepiece_codec.decode(encoded, model, into="decoded")
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "starts", "ends", "decoded")
+    encoded = sentencepiece_codec.encode(docs, tokenizer(PIECES), decoded=True)  # one worker a task for both
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "starts", "ends", "decoded")
 
 
 STAGES = [

@@ -225,8 +225,11 @@ def codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 
 
-def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids, starts, ends)`` for every row: ids with the end id, and each one's span of original bytes."""
+def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", *, decoded: bool = False) -> DataFrame:
+    """``(id, ids, starts, ends)`` for every row: ids with the end id, and each one's span of original bytes.
+
+    With ``decoded``, also what the ids decode to, by the same worker.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,10 +245,12 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32())
                 both = np.concatenate(spans)
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(v), k)) for v, k in ((np.concatenate(ids), pa.int32()), (both[:, 0], pa.int64()), (both[:, 1], pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["id", "ids", "starts", "ends"])
+                if decoded:
+                    lists.append(pa.array([own.decode(x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["id", "ids", "starts", "ends", "decoded"][: 1 + len(lists)])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, starts array<long>, ends array<long>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>, starts array<long>, ends array<long>{', decoded string' * decoded}").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, model: str, ids_col: str = "ids", *, into: str = "text") -> DataFrame:
