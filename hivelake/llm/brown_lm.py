@@ -1,16 +1,19 @@
 """Brown class-based bigram model: exchange clustering, class transitions and word emissions.
 
 Every word belongs to one class, so ``P(w | v) = P(class w | class v) * P(w | class w)``.  The ``exchange_words``
-most frequent words are assigned by exchange clustering, which moves one word at a time to the class that
-raises the likelihood of the class bigrams most.  All other words, seen or not, belong to the class of their
-shape: length, last character, digits and letters beyond ASCII.  Word counts, class counts and class bigrams
-are counted over every training text.
+most frequent words seed the classes by exchange clustering, which moves one word at a time to the class that
+raises the likelihood of the class bigrams most.  Every other word that occurs ``EVIDENCE`` times, however many
+there are, then joins the class that raises it most: tasks gather how often each class stands before and after
+each such word, and all words choose at once, in ``ASSIGN_PASSES`` passes over the texts.  Only words too rare
+for that, and unseen ones, belong to the class of their shape: length, last character, digits and letters
+beyond ASCII.  Word counts, class counts and class bigrams are counted over every training text.
 
 Transitions are smoothed towards the class frequencies, and in each class half a count goes to every seen
 word and to one slot for the unseen, so the probabilities of each class sum to 1.
 
 Counts of the most frequent words, a bounded number, are sent to every task; the others meet the counts by a
-join on the words' hash, so one frequent word never fills a partition.
+join on the words' hash, so one frequent word never fills a partition.  The classes of all learnt words are sent
+to every task, ten bytes a word; they grow with the corpus, at most by one word for ``EVIDENCE`` tokens.
 
 Cases: a null or empty text is its end token alone; a null id counts as the empty string where ids are dealt
 into training and held-out rows.  Repeated rows are scored each.  Without training rows every word is unseen.
@@ -32,8 +35,10 @@ from ._sample import from_the_top
 from ._scratch import written
 from ._text import Words, mix, word_slices
 
-#: Words that exchange clustering assigns, and the classes it assigns them to.
+#: Words that seed the classes by exchange clustering, and the classes.
 EXCHANGE_WORDS, EXCHANGE_CLASSES, EXCHANGE_PASSES = 512, 48, 12
+#: Occurrences from which a word chooses its class by its neighbours, and the passes of choosing.
+EVIDENCE, ASSIGN_PASSES = 16, 2
 #: Words whose counts are sent to every task.
 FREQUENT_WORDS = 1 << 18
 #: Counts by which a transition leans on the frequency of the class it leads to.
@@ -89,13 +94,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(_merged(held))
 
 
-def _symbols(words: Words, known: np.ndarray, symbol: np.ndarray, n_exchange: int) -> np.ndarray:
-    """Exchange words have the numbers below ``n_exchange``, shapes the next ones."""
-    out = shape_of(words) + n_exchange
-    if len(known):
-        at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
-        hit = known[at] == words.hash
-        out[hit] = symbol[at[hit]]
+def _places(words: Words, known: np.ndarray) -> np.ndarray:
+    """The place of each word in ``known``, which ascends, or -1."""
+    if not len(known):
+        return np.full(len(words.hash), -1)
+    at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
+    return np.where(known[at] == words.hash, at, -1)
+
+
+def _symbols(words: Words, places: np.ndarray, symbol: np.ndarray, of_shape: np.ndarray) -> np.ndarray:
+    """The symbol of each known word, and that of its shape for any other."""
+    out = of_shape[shape_of(words)]
+    hit = places >= 0
+    out[hit] = symbol[places[hit]]
     return out
 
 
@@ -113,17 +124,145 @@ def _with_ends(values: np.ndarray, words: Words, end: int) -> tuple[np.ndarray,
 
 
 def _bigrams(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    known, symbol, n_exchange = shared.value
-    size = n_exchange + SHAPES + 1
+    known, symbol, of_shape, size = shared.value
     total = np.zeros(size * size, np.int64)
     for batch in batches:
         for _, _, words in word_slices(batch.column(0), lower=True):
-            tokens, before, _ = _with_ends(_symbols(words, known, symbol, n_exchange), words, size - 1)
+            tokens, before, _ = _with_ends(_symbols(words, _places(words, known), symbol, of_shape), words, size - 1)
             total += np.bincount(before * size + tokens, minlength=size * size)
     pair = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(total[pair])], names=["pair", "n"])
 
 
+def _bigram_matrix(texts: DataFrame, known: np.ndarray, symbol: np.ndarray, of_shape: np.ndarray, size: int) -> np.ndarray:
+    """How often each symbol follows each; the last symbol is the end of a text."""
+    shared = texts.sparkSession.sparkContext.broadcast((known, symbol, of_shape, size))
+    pairs = texts.mapInArrow(lambda it: _bigrams(it, shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size * size)
+    out[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
+    return out.reshape(size, size)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    """``(word, beside, n)``: how often a class stands before a word that chooses, after it, or the word itself.
+
+    ``beside`` is the class before, or ``size`` more than the class after, or ``2 * size`` for the word itself.
+    """
+    known, label, of_shape, size, chooses = shared.value
+    codes = 2 * size + 1
+
+    def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array((keys // codes).astype(np.int32)), pa.array((keys % codes).astype(np.int16)), pa.array(n)], names=["word", "beside", "n"])
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, code = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return keys, np.bincount(code, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+    for batch in batches:
+        for _, _, words in word_slices(batch.column(0), lower=True):
+            places = _places(words, known)
+            classes, before, _ = _with_ends(_symbols(words, places, label, of_shape), words, size - 1)
+            own, own_before, _ = _with_ends(places, words, -1)
+            again = (own >= 0) & (own == own_before)
+            left = np.flatnonzero((own >= 0) & chooses[own] & ~again) if len(known) else np.zeros(0, np.int64)
+            right = np.flatnonzero((own_before >= 0) & chooses[own_before] & ~again) if len(known) else np.zeros(0, np.int64)
+            twice = np.flatnonzero(again & chooses[own]) if len(known) else np.zeros(0, np.int64)
+            keys = np.concatenate([own[left] * codes + before[left], own_before[right] * codes + size + classes[right], own[twice] * codes + 2 * size])
+            if len(keys):
+                held.append(np.unique(keys, return_counts=True))
+                waiting += len(held[-1][0])
+            if waiting > PENDING:
+                held = [merged(held)]
+                waiting = len(held[0][0])
+                if waiting > PENDING // 2:
+                    yield out(*held.pop())
+                    waiting = 0
+    if held:
+        yield out(*merged(held))
+
+
+def best_classes(n: np.ndarray, targets: int, own: np.ndarray, before: np.ndarray, after: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """For each word, the class below ``targets`` that makes the class bigrams ``n`` most likely if it alone moves.
+
+    ``own`` are the words' classes, ``before`` and ``after`` how often each class stands beside each word, other
+    than the word itself, and ``twice`` how often the word follows itself.
+    """
+    m, d = len(own), np.arange(targets)
+    gain = np.zeros((m, targets))
+    inside = np.flatnonzero(own < targets)
+
+    def side(matrix: np.ndarray, counts: np.ndarray, others: np.ndarray) -> None:
+        """Adds the cells of ``matrix[b, c]`` to which the words' ``counts[c]`` go."""
+        for first in range(0, m, 256):
+            w, c = np.nonzero(counts[first : first + 256])
+            w += first
+            if not len(w):
+                continue
+            cells = matrix[:targets].T[c]
+            at_own = c == own[w]
+            cells[at_own] -= others[w[at_own], :targets]
+            leaves = np.flatnonzero(own[w] < targets)
+            cells[leaves, own[w[leaves]]] -= counts[w[leaves], c[leaves]] + at_own[leaves] * twice[w[leaves]]
+            more = _xlogx(cells + counts[w, c][:, None]) - _xlogx(cells)
+            begins = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[begins]] += np.add.reduceat(more, begins)
+
+    side(n, after, before)
+    side(n.T, before, after)
+    diagonal = np.repeat(n[d, d][None], m, 0)
+    diagonal[inside, own[inside]] -= after[inside, own[inside]] + before[inside, own[inside]] + twice[inside]
+    r, k = after[:, :targets], before[:, :targets]
+    gain += _xlogx(diagonal + r + k + twice[:, None]) + _xlogx(diagonal) - _xlogx(diagonal + r) - _xlogx(diagonal + k)
+    for sums, counts in ((n.sum(1), after), (n.sum(0), before)):
+        all_ = counts.sum(1) + twice
+        rest = np.repeat(sums[None, :targets], m, 0)
+        rest[inside, own[inside]] -= all_[inside]
+        gain -= _xlogx(rest + all_[:, None]) - _xlogx(rest)
+    best = gain.argmax(1)
+    stays = inside[gain[inside, best[inside]] <= gain[inside, own[inside]] + 1e-9]
+    best[stays] = own[stays]
+    return best
+
+
+def _chosen(batches: Iterator[pa.RecordBatch], shared: Broadcast, words: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The class of each word of ``(word, beside, n)`` rows, which are ordered by word."""
+    n, targets, label = shared.value
+    size = len(n)
+
+    def out(word: np.ndarray, beside: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        own, row = np.unique(word, return_inverse=True)
+        found = []
+        for a in range(0, len(own), words):
+            part = (row >= a) & (row < a + words)
+            dense = np.zeros((min(words, len(own) - a), 2 * size + 1))
+            dense[row[part] - a, beside[part]] = count[part]
+            found.append(best_classes(n, targets, label[own[a : a + words]], dense[:, :size], dense[:, size : 2 * size], dense[:, 2 * size]))
+        return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(np.concatenate(found), pa.int32())], names=["word", "class"])
+
+    held = [np.zeros(0, np.int64)] * 3
+    for batch in batches:
+        held = [np.concatenate([old, batch.column(i).to_numpy().astype(np.int64)]) for i, old in enumerate(held)]
+        if len(held[0]) and held[0][0] != held[0][-1]:
+            cut = np.searchsorted(held[0], held[0][-1])  # the last word may go on
+            yield out(*(x[:cut] for x in held))
+            held = [x[cut:] for x in held]
+    if len(held[0]):
+        yield out(*held)
+
+
+def _assigned(texts: DataFrame, n: np.ndarray, targets: int, known: np.ndarray, label: np.ndarray, of_shape: np.ndarray, chooses: np.ndarray) -> np.ndarray:
+    """The labels after every word that ``chooses`` has taken its best class at once."""
+    context = texts.sparkSession.sparkContext
+    shared, model = context.broadcast((known, label, of_shape, len(n), chooses)), context.broadcast((n, targets, label))
+    beside = texts.mapInArrow(lambda it: _neighbours(it, shared), "word int, beside short, n long").repartition("word").groupBy("word", "beside").agg(F.sum("n").alias("n"))
+    best = beside.sortWithinPartitions("word").mapInArrow(lambda it: _chosen(it, model), "word int, class int").toArrow()
+    label = label.copy()
+    label[best["word"].to_numpy()] = best["class"].to_numpy()
+    return label
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -183,10 +322,9 @@ class BrownModel:
     n_ends: int
     frequent: np.ndarray  # hashes, ascending
     frequent_counts: np.ndarray
-    known: np.ndarray  # hashes of the exchange words, ascending
-    symbol: np.ndarray  # their symbols
-    n_exchange: int
-    label: np.ndarray  # class of each symbol
+    known: np.ndarray  # hashes of the words with a class of their own choice, ascending
+    label: np.ndarray  # their classes
+    of_shape: np.ndarray  # class of each shape
     transition: np.ndarray  # log10 P(class | class before)
     within: np.ndarray  # log10 of each class's emission denominator
 
@@ -195,44 +333,59 @@ class BrownModel:
         return float(np.log10(self.n_tokens + 0.5 * (self.n_types + 1)))
 
 
-def fit(train: DataFrame, text_col: str = "text", *, exchange_words: int = EXCHANGE_WORDS, exchange_classes: int = EXCHANGE_CLASSES, frequent_words: int = FREQUENT_WORDS) -> BrownModel:
+def fit(
+    train: DataFrame,
+    text_col: str = "text",
+    *,
+    exchange_words: int = EXCHANGE_WORDS,
+    exchange_classes: int = EXCHANGE_CLASSES,
+    frequent_words: int = FREQUENT_WORDS,
+    evidence: int = EVIDENCE,
+    assign_passes: int = ASSIGN_PASSES,
+) -> BrownModel:
     """Learn the model from every row of ``train``."""
-    spark = train.sparkSession
     texts = train.select(F.col(text_col).alias("text"))
     counts = texts.mapInArrow(_counted, "h long, shape int, c long").groupBy("h").agg(F.max("shape").alias("shape"), F.sum("c").alias("c"))
     counts = written(counts, "words")
     n_ends = train.count()
-    top = from_the_top(counts, F.floor(F.log2("c") * 16).cast("int"), frequent_words).toPandas().sort_values(["c", "h"], ascending=[False, True])
+    top = from_the_top(counts, F.floor(F.log2("c") * 16).cast("int"), frequent_words).select("h", "c").toPandas()
     h, c = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
     order = np.argsort(h)
-    picked = np.sort(h[:exchange_words])
-    rank = {x: i for i, x in enumerate(h[:exchange_words].tolist())}
-    symbol = np.array([rank[x] for x in picked.tolist()], np.int64)
-    n_exchange = len(picked)
+    seeds = counts.orderBy(F.desc("c"), "h").limit(exchange_words).collect()
+    seed_h = np.array([r["h"] for r in seeds], np.int64).view(np.uint64)
+    n_exchange = len(seeds)
     size = n_exchange + SHAPES + 1
+    by_hash = np.argsort(seed_h)
+    bigrams = _bigram_matrix(texts, seed_h[by_hash], by_hash, n_exchange + np.arange(SHAPES), size)
+    of_symbol = exchange(bigrams, n_exchange, exchange_classes)
 
-    shared = spark.sparkContext.broadcast((picked, symbol, n_exchange))
-    pairs = texts.mapInArrow(lambda it: _bigrams(it, shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    bigrams = np.zeros(size * size)
-    bigrams[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
-    bigrams = bigrams.reshape(size, size)
-    label = exchange(bigrams, n_exchange, exchange_classes)
-
-    n_classes = int(label.max()) + 1
+    n_classes = int(of_symbol.max()) + 1
     member = np.zeros((size, n_classes))
-    member[np.arange(size), label] = 1
+    member[np.arange(size), of_symbol] = 1
     n = member.T @ bigrams @ member
+    of_shape = of_symbol[n_exchange:-1]
+    more = counts.where(F.col("c") >= evidence).select("h", "shape").toArrow()
+    more_h, more_shape = more["h"].to_numpy().view(np.uint64), more["shape"].to_numpy()
+    fresh = ~np.isin(more_h, seed_h)
+    known = np.concatenate([seed_h, more_h[fresh]])
+    label = np.concatenate([of_symbol[:n_exchange], of_shape[more_shape[fresh]]]).astype(np.int16)
+    by_hash = np.argsort(known)
+    known, label, chooses = known[by_hash], label[by_hash], (np.arange(len(known)) >= n_exchange)[by_hash]
+    for _ in range(assign_passes if chooses.any() else 0):
+        new = _assigned(texts, n, n_classes - SHAPES - 1, known, label, of_shape, chooses)
+        if (new == label).all():
+            break
+        label = new
+        n = _bigram_matrix(texts, known, label, of_shape, n_classes)
     tokens = n.sum(0)
     share = (tokens + 0.5) / (tokens.sum() + 0.5 * n_classes)
     transition = np.log10((n + LEAN * share) / (n.sum(1, keepdims=True) + LEAN))
 
-    by_shape = counts.groupBy("shape").agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("c")).collect()
-    types = np.zeros(n_classes)
-    exchange_shape = dict(top[["h", "shape"]].head(exchange_words).itertuples(index=False))
+    by_shape = counts.groupBy("shape").agg(F.count(F.lit(1)).alias("v"), F.count(F.when(F.col("c") < evidence, 1)).alias("rare"), F.sum("c").alias("c")).collect()
+    types = np.bincount(label, minlength=n_classes).astype(float)
     for r in by_shape:
-        types[label[n_exchange + r["shape"]]] += r["v"] - sum(1 for s in exchange_shape.values() if s == r["shape"])
-    np.add.at(types, label[:n_exchange], 1)
-    types[label[-1]] = 1
+        types[of_shape[r["shape"]]] += r["rare"] - sum(1 for s in seeds if s["shape"] == r["shape"] and s["c"] < evidence)
+    types[-1] = 1
     return BrownModel(
         counts=counts,
         n_tokens=int(sum(r["c"] for r in by_shape)) + n_ends,
@@ -240,10 +393,9 @@ def fit(train: DataFrame, text_col: str = "text", *, exchange_words: int = EXCHA
         n_ends=n_ends,
         frequent=h[order],
         frequent_counts=c[order],
-        known=picked,
-        symbol=symbol,
-        n_exchange=n_exchange,
+        known=known,
         label=label,
+        of_shape=of_shape,
         transition=transition,
         within=np.log10(tokens + 0.5 * (types + 1)),
     )
@@ -254,13 +406,13 @@ def _scored(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
 
     Columns: key, id and its fold as they came; h, the word or a number spread over the partitions; tf, 0 for a text.
     """
-    frequent, log_c, known, symbol, n_exchange, label, transition, within, log_end, ends = shared.value
-    end_class = label[-1]
+    frequent, log_c, known, label, of_shape, transition, within, log_end, ends = shared.value
+    end_class = len(within) - 1
     for batch in batches:
         key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b, words in word_slices(batch.column(3), lower=True):
             n = b - a
-            classes = label[_symbols(words, known, symbol, n_exchange)]
+            classes = _symbols(words, _places(words, known), label, of_shape)
             tokens, before, rows = _with_ends(classes, words, end_class)
             moves = np.bincount(rows, transition[before, tokens] - within[tokens], n)
             if len(frequent):
@@ -293,7 +445,7 @@ def score(df: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: st
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row."""
     half = np.log10(0.5 + model.n_ends)
     shared = df.sparkSession.sparkContext.broadcast(
-        (model.frequent, np.log10(model.frequent_counts + 0.5), model.known, model.symbol, model.n_exchange, model.label, model.transition, model.within, half, model.n_ends)
+        (model.frequent, np.log10(model.frequent_counts + 0.5), model.known, model.label, model.of_shape, model.transition, model.within, half, model.n_ends)
     )
     rows = df.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
     id_type = df.schema[id_col].dataType.simpleString()

@@ -154,6 +154,62 @@ def test_exchange_raises_likelihood():
     assert all(len(set(label[:30][kind == k])) == 1 for k in range(3)) and label[30] == 3
 
 
+def test_best_class_of_a_word_is_the_likeliest():
+    rng = np.random.default_rng(5)
+    size, targets, seeds = 12, 4, 20
+    label = np.concatenate([rng.integers(0, targets, seeds), rng.integers(0, 11, 10)])
+    tokens = np.append(rng.integers(0, 30, 4000), -1)
+    tokens[7::50] = tokens[8::50][: len(tokens[7::50])]  # some words follow themselves
+    label = np.append(label, size - 1)  # the end
+
+    def matrix(label):
+        n = np.zeros((size, size))
+        np.add.at(n, (label[tokens[:-1]], label[tokens[1:]]), 1)
+        return n
+
+    def likelihood(n):
+        return brown_lm._xlogx(n).sum() - brown_lm._xlogx(n.sum(0)).sum() - brown_lm._xlogx(n.sum(1)).sum()
+
+    n = matrix(label)
+    who = np.arange(seeds, 30)
+    before, after, twice = np.zeros((10, size)), np.zeros((10, size)), np.zeros(10)
+    for a, b in zip(tokens[:-1], tokens[1:], strict=True):
+        if a == b and a >= seeds:
+            twice[a - seeds] += 1
+        else:
+            if a >= seeds:
+                after[a - seeds, label[b]] += 1
+            if b >= seeds:
+                before[b - seeds, label[a]] += 1
+    best = brown_lm.best_classes(n, targets, label[who], before, after, twice)
+    for w, b in zip(who, best, strict=True):
+        each = []
+        for c in range(targets):
+            moved = label.copy()
+            moved[w] = c
+            each.append(likelihood(matrix(moved)))
+        assert b == int(np.argmax(each))
+
+
+def test_brown_classes_reach_beyond_the_exchange_words(spark):
+    rng = random.Random(8)  # words of one shape in two hidden kinds that take turns
+    letters = "bcdfghklmn"
+    kinds = [[k + a + b + "a" for a in letters for b in letters] for k in "xz"]
+    weight = [1 / (i + 1) ** 0.5 for i in range(100)]
+    rows = [(i, " ".join(rng.choices(kinds[j % 2], weight)[0] for j in range(60))) for i in range(400)]
+    model = brown_lm.fit(frame(spark, rows), exchange_words=20, exchange_classes=2)
+    often = [w for w, c in collections.Counter(w for _, t in rows for w in words(t)).items() if c >= brown_lm.EVIDENCE]
+    assert len(model.known) == len(often) > 150
+    assert set(np.bincount(model.label, minlength=2)[:2]) == {sum(w[0] == k for w in often) for k in "xz"} and model.label.max() < 2
+    odds = 10 ** model.transition[:2, :2]
+    assert min(max(row) for row in odds) > 0.95  # the classes follow each other in turn
+    n = sum(r.n_tokens for r in brown_lm.score(frame(spark, rows), model).collect())
+    assert n == 61 * len(rows)
+    few = brown_lm.fit(frame(spark, rows), exchange_words=20, exchange_classes=2, evidence=1 << 40)
+    better = [brown_lm.score(frame(spark, rows), m).groupBy().sum("score").first()[0] for m in (model, few)]
+    assert better[0] > better[1] + 0.1 * n
+
+
 # 4
 
 def stats(text):
