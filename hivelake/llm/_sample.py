@@ -24,17 +24,21 @@ def smallest_hashes(df: DataFrame, id_col: str, rows: int) -> DataFrame:
     return near.orderBy(F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(_SPACE)), id_col).limit(rows)
 
 
-def from_the_top(df: DataFrame, step: Column, most: int) -> DataFrame:
+def from_the_top(df: DataFrame, step: Column, most: int, *order: Column | str) -> DataFrame:
     """The rows of the highest steps, so many steps as hold at most ``most`` rows together.
 
     ``step`` is a whole number of few values.  Its histogram gives the last step, so no task sends candidates of
-    its own to the driver; rows of the step at which ``most`` is passed are left out together.
+    its own to the driver.  Of the step at which ``most`` is passed the first rows by ``order`` fill the places
+    left, so ties never empty the result; without an order all its rows are left out.
     """
     counts = df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).where("step IS NOT NULL").collect()
-    edge, total = None, 0
+    edge, beyond, total = None, None, 0
     for at, n in sorted(((r["step"], r["n"]) for r in counts), reverse=True):
-        total += n
-        if total > most:
+        if total + n > most:
+            beyond = at
             break
-        edge = at
-    return df.where(F.lit(False)) if edge is None else df.where(step >= edge)
+        edge, total = at, total + n
+    whole = df.where(F.lit(False)) if edge is None else df.where(step >= edge)
+    if beyond is None or not order or total == most:
+        return whole
+    return whole.unionByName(df.where(step == beyond).orderBy(*order).limit(most - total))

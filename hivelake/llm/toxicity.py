@@ -6,7 +6,8 @@ Each n-gram is worth its log-count ratio, the logarithm of how much likelier a t
 regression with a penalty weighs these values.
 
 Ratios and weights are learnt from at most ``TRAIN_ROWS`` labelled texts, those with the smallest hashes of
-their ids, read whole.  The n-grams that tell most are kept, so that the model is a small table for each task.
+their ids, read whole.  The n-grams that tell most are kept, so that the model is a small table for each task;
+which tell most is judged by different texts, so many copies of one text can't take all places with its n-grams.
 
 Cases: null and empty texts have the score of a text without n-grams.  A row of labels without a label is left
 out; labels that repeat an id count once, as toxic if one of them says so.  Repeated texts are scored each,
@@ -95,14 +96,17 @@ def features(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tup
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << BITS), np.int64)
+    """Rows with each n-gram by label, and different texts with it by label."""
+    counts = np.zeros((4, 1 << BITS), np.int64)
     for batch in batches:
-        y = batch.column(0).to_numpy(zero_copy_only=False).astype(int)
+        y, copies = (batch.column(i).to_numpy(zero_copy_only=False).astype(int) for i in (0, 2))
         for a, b, row, h in features(batch.column(1)):
             for toxic in (0, 1):
-                counts[toxic] += np.bincount(h[y[a:b][row] == toxic], minlength=1 << BITS)
+                at = y[a:b][row] == toxic
+                counts[toxic] += np.bincount(h[at], copies[a:b][row[at]], 1 << BITS).astype(np.int64)
+                counts[2 + toxic] += np.bincount(h[at], minlength=1 << BITS)
     seen = np.flatnonzero(counts.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[1][seen]), pa.array(counts[0][seen])], names=["feature", "toxic", "clean"])
+    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), *(pa.array(counts[i][seen]) for i in (1, 0, 3, 2))], names=["feature", "toxic", "clean", "toxic_texts", "clean_texts"])
 
 
 def _sparse_rows(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -110,23 +114,25 @@ def _sparse_rows(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Itera
         for a, b, row, h in features(batch.column(1), wanted):
             ends = np.searchsorted(row, np.arange(b - a + 1))
             held = pa.array([h[s:e].astype(np.int32).tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), held], names=["toxic", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), held], names=["toxic", "copies", "features"])
 
 
-def logistic(rows: np.ndarray, columns: np.ndarray, value: np.ndarray, y: np.ndarray, *, penalty: float = PENALTY, steps: int = 80) -> tuple[np.ndarray, float]:
-    """Weights and intercept of penalised logistic regression over sparse rows, by L-BFGS."""
+def logistic(rows: np.ndarray, columns: np.ndarray, value: np.ndarray, y: np.ndarray, times: np.ndarray | float = 1.0, *, penalty: float = PENALTY, steps: int = 80) -> tuple[np.ndarray, float]:
+    """Weights and intercept of penalised logistic regression over sparse rows, each as often as ``times`` says, by L-BFGS."""
     n, k = len(y), len(value)
+    times = np.broadcast_to(times, n)
     x = value[columns]
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         z = np.bincount(rows, x * w[columns], n) + w[k]
         p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-        cost = np.logaddexp(0, -np.where(y == 1, z, -z)).sum() + 0.5 * penalty * (w[:k] @ w[:k])
-        slope = np.append(np.bincount(columns, (p - y)[rows] * x, k) + penalty * w[:k], (p - y).sum())
+        cost = times @ np.logaddexp(0, -np.where(y == 1, z, -z)) + 0.5 * penalty * (w[:k] @ w[:k])
+        off = times * (p - y)
+        slope = np.append(np.bincount(columns, off[rows] * x, k) + penalty * w[:k], off.sum())
         return cost, slope
 
     w = np.zeros(k + 1)
-    w[k] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
+    w[k] = np.log((times @ y + 0.5) / (times @ (1 - y) + 0.5))
     cost, slope = loss(w)
     past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
@@ -167,28 +173,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     chosen = written(smallest_hashes(known, "id", train_rows), "labelled")
     texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["id"]).select("toxic", F.col(text_col).alias("text"))
+    texts = texts.groupBy("toxic", "text").agg(F.count(F.lit(1)).alias("copies"))
     texts = written(texts.repartition(8), "train")
-    n_by = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    p, q = n_by.get(1, 0), n_by.get(0, 0)
+    n_by = {r["toxic"]: (r["n"], r["texts"]) for r in texts.groupBy("toxic").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts")).collect()}
+    (p, p_texts), (q, q_texts) = n_by.get(1, (0, 0)), n_by.get(0, (0, 0))
     weights = np.zeros(1 << BITS, np.float32)
     if not p or not q:
         return ToxicityModel(weights, 35.0 if p else -35.0)
 
-    counts = texts.mapInArrow(_gram_counts, "feature int, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    share = (F.col("toxic") + F.col("clean")) / F.lit(float(p + q))
-    surprise = F.abs(F.col("toxic") - share * p) / F.sqrt(share * (1 - share) * (p * q / (p + q)) + 1e-9)
+    names = ("toxic", "clean", "toxic_texts", "clean_texts")
+    counts = texts.mapInArrow(_gram_counts, "feature int, " + ", ".join(f"{c} long" for c in names)).groupBy("feature").agg(*(F.sum(c).alias(c) for c in names))
+    share = (F.col("toxic_texts") + F.col("clean_texts")) / F.lit(float(p_texts + q_texts))
+    surprise = F.abs(F.col("toxic_texts") - share * p_texts) / F.sqrt(share * (1 - share) * (p_texts * q_texts / (p_texts + q_texts)) + 1e-9)
     counts = written(counts.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS), "grams")
-    best = from_the_top(counts, F.floor(surprise * 256).cast("int"), kept).toPandas().sort_values("feature")
+    best = from_the_top(counts, F.floor(surprise * 256).cast("int"), kept, surprise.desc(), F.col("feature")).toPandas().sort_values("feature")
     chosen_h = best["feature"].to_numpy()
     ratio = np.log((best["toxic"].to_numpy() + 1) / (p + 2)) - np.log((best["clean"].to_numpy() + 1) / (q + 2))
     wanted = np.zeros(1 << BITS, bool)
     wanted[chosen_h] = True
     shared = spark.sparkContext.broadcast(wanted)
-    sparse = texts.mapInArrow(lambda it: _sparse_rows(it, shared.value), "toxic int, features binary").collect()
+    sparse = texts.mapInArrow(lambda it: _sparse_rows(it, shared.value), "toxic int, copies long, features binary").collect()
     held = [np.frombuffer(r["features"], np.int32) for r in sparse]
     rows = np.repeat(np.arange(len(held)), [len(x) for x in held])
     columns = np.searchsorted(chosen_h, np.concatenate(held))
-    w, intercept = logistic(rows, columns, ratio, np.array([r["toxic"] for r in sparse], float))
+    w, intercept = logistic(rows, columns, ratio, np.array([r["toxic"] for r in sparse], float), np.array([r["copies"] for r in sparse], float))
     weights[chosen_h] = w * ratio
     remove(texts, chosen, counts)
     return ToxicityModel(weights, intercept)

@@ -9,9 +9,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hivelake.llm import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, sentencepiece_codec, token_output, toxicity, url_filter, warc
 from hivelake.llm._graph import components
+from hivelake.llm._sample import from_the_top
 from hivelake.llm.queries import BYTE_PAIRS, PIECES, tokenizer
 
 SCHEMA = "doc_id long, text string, h string, id string, words string, part int"
@@ -464,6 +466,29 @@ def test_toxicity_learns_from_other_folds_alone(spark):
     assert toxicity.score_all(empty(spark), table).count() == 0
 
 
+def test_toxicity_learns_beside_copies_of_a_long_text(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(4, 9)))
+    plain, long = [word() for _ in range(200)], " ".join("q" + word() for _ in range(1500))
+    for hot in (0, 1):
+        rows, labels = [], []
+        for i in range(400):
+            bad = i % 4 == 0
+            copy = bad == hot and i % 8 < 4
+            text = [rng.choice(plain) for _ in range(30)] + (["zounds", "fopdoodle"] if bad else [])
+            rows.append((i, long if copy else " ".join(text)))
+            labels.append((i, int(bad)))
+        labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+        got = {r.doc_id: r.predicted for r in toxicity.score_all(frame(spark, rows), labels, kept=2000).collect()}
+        assert sum(got[i] == int(i % 4 == 0) for i in got) >= 0.97 * len(got)
+
+
+def test_ties_fill_the_places_left(spark):
+    df = spark.createDataFrame([(i, 9 if i < 6 else 3) for i in range(12)], "i int, s int")
+    pick = lambda most: sorted(r.i for r in from_the_top(df, F.col("s"), most, F.desc("i")).collect())
+    assert [pick(4), pick(6), pick(8), pick(20)] == [[2, 3, 4, 5], list(range(6)), [*range(6), 10, 11], list(range(12))]
+
+
 # 10
 
 def leak_brute(docs, items, window=13, need=11):
