@@ -5,8 +5,10 @@ shape, length, the share of digits and the words around them, and adds secrets (
 phone numbers without a country code, social security numbers and IBANs.  It is trained by maximum likelihood
 from a small labelled table, and decoded by Viterbi for many sequences at once.
 
-Only a token with a digit may get a label, so sequences are runs of tokens around such tokens; everything else
-would decode to no label and is skipped.  Spans of the field that overlap a pattern's span are dropped.
+A token may get a label if it has a digit, stands behind a word that announces a secret, or is written like a
+key; a token without a digit can only be a secret.  Sequences are runs of tokens of a line around such tokens,
+with the tokens before them, also those of the lines before; everything else would decode to no label and is
+skipped.  Spans of the field that overlap a pattern's span are dropped.
 
 Cases: null and empty texts have no spans.  Repeated rows and rows without an id are searched each.  An empty
 table gives an empty result.  Positions are code points, the end exclusive.
@@ -40,6 +42,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile("[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_LINE = re.compile(r"[^\n]+")
+_SOME = re.compile("[0-9]|[A-Za-z+/_-]{16}")
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -93,6 +97,14 @@ CUES = {
     "iban": ("iban", "account", "konto", "cuenta", "compte"),
     "phone": ("phone", "tel", "call", "mobile", "telefon", "teléfono", "téléphone"),
 }
+#: What may be a cue of a secret, so that few words are looked at closely.
+_MAYBE_CUE = re.compile("(?i)pass|pwd|token|secret|key|credential|auth|bearer")
+#: Letters alone that are written like a key: a known prefix, hexadecimals, or a long run with capitals inside.
+_KEY = re.compile(r"(?:AKIA|ASIA)[A-Z]{12,}|(?:ghp_|sk-|xox)[A-Za-z_-]{12,}|[a-f]{16,}|[A-F]{16,}|(?=[a-z+/_-]*+(?:[A-Z]++[a-z+/_-]++){3})[A-Za-z+/_-]{20,}")
+#: Texts that may hold any of all this.
+_WORTH = "[0-9@]|(?i:pass|pwd|token|secret|key|credential|auth|bearer)|[A-Za-z+/_-]{16}"
+#: Tokens from a cue to its secret, at most.
+REACH = 3
 _CUE_OF = {w: kind for kind, words in CUES.items() for w in words}
 _LETTERS = re.compile(r"[^\W\d]+")
 _HEX = re.compile(r"[0-9a-f]{12,}|[0-9A-F]{12,}")
@@ -112,6 +124,14 @@ def _cue(token: str) -> str:
     return next((_CUE_OF[w] for w in words if w in _CUE_OF), "")
 
 
+def _said(tokens: Sequence[str], i: int) -> str:
+    """The kind that the nearest cue before a token announces, and whether a colon or equals sign leads to the token."""
+    for j in range(i - 1, max(-1, i - 1 - REACH), -1):
+        if kind := _cue(tokens[j]):
+            return kind + "=" * (tokens[i - 1][-1:] in ":=")
+    return ""
+
+
 def token_features(tokens: Sequence[str], i: int) -> list[str]:
     token = tokens[i]
     core = token.strip("\"'.,;:()")
@@ -127,6 +147,8 @@ def token_features(tokens: Sequence[str], i: int) -> list[str]:
         f"hex={bool(_HEX.fullmatch(value))}",
         f"own={_cue(core.partition('=')[0]) if '=' in core else '-'}",
         f"cue-1={_cue(before)}",
+        f"said={_said(tokens, i)}{len(value) >= 10}" if not digits else "said",
+        f"key={bool(_KEY.fullmatch(value))}",
         f"cue-2={_cue(before2)}{before[:1] if before[:1] in '=:' else ''}",
         f"shape-1={shape(before)}",
         f"shape+1={shape(tokens[i + 1]) if i + 1 < len(tokens) else '$'}",
@@ -140,6 +162,29 @@ def has_digit(token: str) -> bool:
     return bool(_DIGITS.search(token))
 
 
+def _secret_cue(token: str) -> bool:
+    return bool(_MAYBE_CUE.search(token)) and _cue(token) == "secret"
+
+
+def may_hold(tokens: Sequence[str], i: int) -> bool:
+    """Whether a token may get a label."""
+    token = tokens[i]
+    if has_digit(token):
+        return True
+    head, _, value = token.strip("\"'.,;:()").rpartition("=")
+    value = value.strip("\"'")
+    if not any(c.isalpha() for c in value):
+        return False
+    return _secret_cue(head) or any(_secret_cue(t) for t in tokens[max(0, i - REACH) : i]) or (len(value) >= 16 and bool(_KEY.fullmatch(value)))
+
+
+def _closed(tokens: Sequence[str], i: int) -> np.ndarray:
+    """What bars tags from a token."""
+    if has_digit(tokens[i]):
+        return _OPEN
+    return _SECRET_ALONE if may_hold(tokens, i) else _SHUT
+
+
 @dataclass
 class ChainField:
     """A linear-chain conditional random field; ``emission[f, y]`` and ``transition[y, z]``."""
@@ -149,16 +194,15 @@ class ChainField:
     transition: np.ndarray = field(default_factory=lambda: np.zeros((len(TAGS), len(TAGS))))
 
     def scores(self, sequences: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """``(sequences, longest, tags)`` emission scores, and lengths; tags other than O need a digit."""
+        """``(sequences, longest, tags)`` emission scores, and lengths; tags other than O need a token that may hold them."""
         lengths = np.array([len(s) for s in sequences])
         out = np.zeros((len(sequences), int(lengths.max(initial=0)), len(TAGS)))
         for k, tokens in enumerate(sequences):
-            for i, token in enumerate(tokens):
+            for i in range(len(tokens)):
                 known = [self.index[f] for f in token_features(tokens, i) if f in self.index]
                 if known:
                     out[k, i] = self.emission[known].sum(axis=0)
-                if not has_digit(token):
-                    out[k, i, 1:] = -1e4
+                out[k, i] += _closed(tokens, i)
         return out, lengths
 
     def decode(self, sequences: Sequence[Sequence[str]], batch: int = 256) -> list[np.ndarray]:
@@ -192,6 +236,10 @@ class ChainField:
 
 #: I- follows B- or I- of its kind alone.
 FORBIDDEN = np.array([[-1e4 if z[0] == "I" and y[1:] != z[1:] else 0.0 for z in TAGS] for y in TAGS])
+#: Any tag; no tag or a secret; no tag.
+_OPEN = np.zeros(len(TAGS))
+_SECRET_ALONE = np.array([0.0 if t in ("O", "B-secret") else -1e4 for t in TAGS])
+_SHUT = np.array([0.0 if t == "O" else -1e4 for t in TAGS])
 START = np.array([-1e4 if t[0] == "I" else 0.0 for t in TAGS])
 
 
@@ -213,9 +261,8 @@ def train(rows: Iterable[tuple[Sequence[str], Sequence[str]]], *, steps: int = 8
     closed = np.zeros((n, longest, size))
     for k, (tokens, tags) in enumerate(rows):
         gold[k, : len(tags)] = [_TAG[t] for t in tags]
-        for i, token in enumerate(tokens):
-            if not has_digit(token):
-                closed[k, i, 1:] = -1e4
+        for i in range(len(tokens)):
+            closed[k, i] = _closed(tokens, i)
     inside = np.arange(longest) < lengths[:, None]
     wanted = (np.eye(size)[gold]) * inside[:, :, None]
     moved = np.zeros((size, size))
@@ -270,8 +317,14 @@ def example_rows(n: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]
     hexes = lambda k: "".join(some("0123456789abcdef") for _ in range(k - 2)) + some("abcdef") + digits(1)
     capitals = lambda k: "".join(some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(k - 1)) + digits(1)
 
+    plain = lambda k: "".join(some("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    mixed = lambda k: "".join(some("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(k))
+    upper = lambda k: "".join(some("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(k))
+
     def secret() -> tuple[list[str], list[str]]:
         kind = rng.randint(0, 4)
+        if rng.random() < 0.4:
+            return lettered()
         cue = some(("password", "passwd", "pwd", "secret", "api_key", "token", "key", "auth"))
         value = some((hexes(rng.choice((16, 18, 20, 32, 40, 64))), capitals(20), hexes(18)))
         if kind == 0:
@@ -284,6 +337,21 @@ def example_rows(n: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]
             return ["AKIA" + capitals(16)], ["B-secret"]
         return [cue, "=", value], ["O", "O", "B-secret"]
 
+    def lettered() -> tuple[list[str], list[str]]:
+        """Secrets without a digit."""
+        cue = some(("password", "Password", "passwd", "pwd", "secret", "api_key", "token", "key", "auth"))
+        value = some((plain, mixed))(rng.randint(12, 32))
+        return some(
+            (
+                lambda: ([f"{cue}={value}"], ["B-secret"]),
+                lambda: ([f"{cue}:", value], ["O", "B-secret"]),
+                lambda: ([f"{cue}:", value], ["O", "B-secret"]),
+                lambda: ([cue, some("=:"), some((value, f'"{value}"'))], ["O", "O", "B-secret"]),
+                lambda: (["AKIA" + upper(16)], ["B-secret"]),
+                lambda: ([mixed(rng.randint(32, 40))], ["B-secret"]),
+            )
+        )()
+
     def marked() -> tuple[list[str], list[str]]:
         kind = rng.randint(0, 5)
         if kind <= 2:
@@ -298,7 +366,8 @@ def example_rows(n: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]
         return [some(("IBAN", "iban:", "account")), some(("DE", "FR", "ES", "GB")) + digits(rng.randint(16, 24))], ["O", "B-iban"]
 
     def harmless() -> list[str]:
-        kind = rng.randint(0, 11)
+        kind = rng.randint(0, 15)
+        cue = some(("token", "Token", "key", "password", "Password", "secret", "auth", "pwd"))
         return [
             lambda: ["Version", f"{digits(1)}.{digits(1)}."],
             lambda: [f"{rng.randint(1900, 2035)}"],
@@ -312,6 +381,10 @@ def example_rows(n: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]
             lambda: [f"{word().strip('.,')}.{digits(2)}@mail{digits(1)}.example.com"],
             lambda: [f"{word().strip('.,')}{digits(rng.randint(1, 3))}"],
             lambda: [some(("token", "key", "password", "account", "call", "phone")), word(), digits(rng.randint(1, 4))],
+            lambda: [cue, some(("is", "ring", "of", "for", "and", "the", word())), word(), word()],
+            lambda: [f"{cue}:", plain(rng.randint(1, 8)), word()],
+            lambda: [cue, plain(rng.randint(4, 16)), word()],
+            lambda: [f"{cue}={some(('', 'none', 'true', 'null', 'value', plain(rng.randint(1, 7))))}"],
         ][kind]()
 
     rows = []
@@ -334,24 +407,32 @@ def example_rows(n: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]
     return rows
 
 
-def sequences(text: str) -> Iterator[list[re.Match]]:
-    """Runs of tokens of one line around those with a digit."""
-    at = 0
-    while m := _DIGITS.search(text, at):
-        a = text.rfind("\n", 0, m.start()) + 1
-        b = text.find("\n", m.start())
-        b = len(text) if b < 0 else b
-        at = b + 1
-        tokens = list(_TOKEN.finditer(text, a, b))
-        hot = [i for i, t in enumerate(tokens) if has_digit(t[0])]
+def sequences(text: str) -> Iterator[tuple[list[re.Match], int]]:
+    """Runs of tokens of one line around those that may get a label, and how many of a run are context alone.
+
+    Behind a line break the last tokens before it are context.
+    """
+    recent: list[re.Match] = []
+    for line in _LINE.finditer(text):
+        own = list(_TOKEN.finditer(text, *line.span()))
+        tokens, ahead = [*recent, *own], len(recent)
+        plain = [t[0] for t in tokens]
+        recent = tokens[-CONTEXT:]
+        cues = any(_MAYBE_CUE.search(t) for t in plain[:ahead]) or _MAYBE_CUE.search(text, *line.span())
+        if not cues and not _SOME.search(text, *line.span()):
+            continue
         run: list[int] = []
-        for i in hot:
+        for i in range(ahead, len(tokens)):
+            if not may_hold(plain, i):
+                continue
             if run and i - CONTEXT > run[-1] + CONTEXT:
-                yield tokens[max(0, run[0] - CONTEXT) : run[-1] + CONTEXT + 1]
+                first = max(0, run[0] - CONTEXT)
+                yield tokens[first : run[-1] + CONTEXT + 1], max(0, ahead - first)
                 run = []
             run.append(i)
         if run:
-            yield tokens[max(0, run[0] - CONTEXT) : run[-1] + CONTEXT + 1]
+            first = max(0, run[0] - CONTEXT)
+            yield tokens[first : run[-1] + CONTEXT + 1], max(0, ahead - first)
 
 
 def _field_span(tokens: Sequence[re.Match], kind: str) -> Span:
@@ -371,20 +452,22 @@ def _field_span(tokens: Sequence[re.Match], kind: str) -> Span:
 
 def field_spans(texts: Sequence[str], model: ChainField) -> list[list[Span]]:
     """The spans that the field finds in each text."""
-    owner, runs = [], []
+    owner, runs, ahead = [], [], []
     for k, text in enumerate(texts):
-        for run in sequences(text):
+        for run, context in sequences(text):
             owner.append(k)
             runs.append(run)
+            ahead.append(context)
     found: list[list[Span]] = [[] for _ in texts]
-    for k, run, path in zip(owner, runs, model.decode([[t[0] for t in r] for r in runs]), strict=True):
+    for k, run, context, path in zip(owner, runs, ahead, model.decode([[t[0] for t in r] for r in runs]), strict=True):
         i = 0
         while i < len(path):
             if path[i]:
                 kind, j = TAGS[path[i]][2:], i + 1
                 while j < len(path) and TAGS[path[j]] == f"I-{kind}":
                     j += 1
-                found[k].append(_field_span(run[i:j], kind))
+                if i >= context:  # the line before has its own sequences
+                    found[k].append(_field_span(run[i:j], kind))
                 i = j
             else:
                 i += 1
@@ -417,8 +500,8 @@ def redacted(text: str, spans: Iterable[Span]) -> str:
 
 
 def _candidates(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[list[int], list[str]]]:
-    """Rows that hold a digit or an @, some megabytes at a time."""
-    rows = np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(column, "[0-9@]"), False)))
+    """Rows that may hold a span, some megabytes at a time."""
+    rows = np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(column, _WORTH), False)))
     held, texts, size = [], [], 0
     for i in rows:
         held.append(int(i))
