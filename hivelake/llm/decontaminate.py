@@ -12,7 +12,7 @@ The benchmark's seeds are broadcast if there are at most ``BROADCAST_SEEDS`` of
 both sides are shuffled and the texts joined again to the hits.  What is carried on from a text is one row
 for each window that leaks, summed per text and item before it is shuffled.
 
-Cases: null and empty texts leak nothing.  A null id is reported as null; rows that repeat an id are reported
+Cases: null and empty texts leak nothing.  A null id, of a text or an item, is reported as null; rows that repeat an id are reported
 together.  Benchmark items that repeat a text are reported each.  Empty tables give an empty result.
 """
 
@@ -88,13 +88,14 @@ def leaks(
     for mask in masks:
         own = items if mask == SPACED else items.where(F.size("words") <= SPACED[-1])
         seeds = _seeds(own, mask, "item_pos").select("h", "item", "item_pos")
-        whole = hint(own.select("item", F.col("words").alias("item_words")))
+        whole = hint(own.select(F.col("item").alias("of"), F.col("words").alias("item_words")))
+        same = F.col("item").eqNullSafe(F.col("of"))
         hits = _seeds(texts, mask, "pos")
         if small:
-            hits = hits.join(hint(seeds), "h").join(whole, "item")
+            hits = hits.join(hint(seeds), "h").join(whole, same)
         else:
             hits = hits.select("id", "pos", "h").join(seeds, "h").select("id", "item", "pos", "item_pos").distinct()
-            hits = hits.join(whole, "item").join(texts, hits.id.eqNullSafe(texts.id)).drop(texts.id)
+            hits = hits.join(whole, same).join(texts, hits.id.eqNullSafe(texts.id)).drop(texts.id)
         found.append(hits.select("id", "item", F.inline(_windows(mask, window, need))))
     rows = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     return rows.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(

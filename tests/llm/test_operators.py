@@ -549,6 +549,16 @@ def test_leaks_with_substitutions(spark):
     assert decontaminate.leaks(empty(spark), bench).count() == 0 and decontaminate.leaks(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_items_without_an_id_leak(spark):
+    text = " ".join(f"n{i}" for i in range(20))
+    docs = frame(spark, [(1, f"a {text} b"), (2, "nothing of it"), (None, text)])
+    bench = spark.createDataFrame([(None, text), (None, "five words are enough here"), (5, "other words that nobody repeats")], "item_id long, text string")
+    for most in (decontaminate.BROADCAST_SEEDS, 0):
+        got = {tuple(r) for r in decontaminate.leaks(docs, bench, broadcast_seeds=most).collect()}
+        assert got == {(1, None, 1, 20, 13), (None, None, 0, 19, 13)}
+    assert [r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()] == [2]
+
+
 def test_the_mask_hits_every_window_with_two_substitutions():
     import itertools
 
