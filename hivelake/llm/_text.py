@@ -1,8 +1,9 @@
 """Vectorised word hashing over Arrow string batches.
 
 A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``; UTF-8 keeps those bytes for white space
-alone, so the split by bytes equals the split by characters.  Words are identified by a 64-bit hash: a
-polynomial over the bytes modulo 2**64, taken from one prefix sum and then mixed.
+alone, so the split by bytes equals the split by characters.  Words and lines are identified by a 64-bit hash:
+the sum of their bytes, each times a random multiplier of its place, then mixed.  The multipliers have no
+structure, so no form of a text makes two of them equal: whatever the two, they are with a chance below 2**-56.
 """
 
 from __future__ import annotations
@@ -75,6 +76,24 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = end
 
 
+@lru_cache(maxsize=1)
+def _multipliers(n: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _BASE)
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span; spans ascend, don't overlap and are not empty."""
+    size = end - start
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(size) - size
+    place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+    value = raw[place + np.repeat(start, size)].astype(np.uint64)
+    value += np.uint64(1)
+    value *= _multipliers(max(1 << 12, 1 << int(size.max() - 1).bit_length()))[place]
+    return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 @dataclass
 class Words:
     """The words of some rows, in order: where each begins and ends in ``raw``, its row, and its hash."""
@@ -101,12 +120,7 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, *, lower: bool) -> Words:
     begins[edges] = inside[edges]
     ends[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = powers(max(1, len(raw)))
-    value = (LOWER[raw] if lower else raw).astype(np.uint64)
-    value += np.uint64(1)
-    value *= up[: len(raw)]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
-    hashed = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashed = span_hashes(LOWER[raw] if lower else raw, start, end)
     row = np.searchsorted(offsets, start, "right") - 1
     return Words(raw, start, end, row, hashed, n_rows)
 
@@ -128,7 +142,7 @@ def runs_of(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     scale = 1
     for j in range(k):
         part = np.zeros(n, np.uint64)
-        part[: n - j] = h[j:]
+        part[: max(0, n - j)] = h[j:]  # a slice may hold fewer than k words
         part[at + j >= last] = 0
         total += mix(part + np.uint64(j + 1)) * np.uint64(scale)
         scale = scale * int(_BASE) % (1 << 64)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ._sample import smallest_hashes
 from ._scratch import remove, written
-from ._text import WHITE, Words, mix, powers, slices, text_bytes, words_of
+from ._text import WHITE, Words, mix, slices, span_hashes, text_bytes, words_of
 
 TRAIN_ROWS = 20_000
 SYMBOLS = "#*$%&|<>"
@@ -67,9 +67,7 @@ def lines_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     inside = np.concatenate([[0], np.cumsum(~WHITE[raw])])
     keep = inside[end] > inside[start]
     start, end, row = start[keep], end[keep], row[keep]
-    up, down = powers(max(1, len(raw)))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], dtype=np.uint64)])
-    value = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)) ^ mix(row.astype(np.uint64) + np.uint64(1))
+    value = mix(span_hashes(raw, start, end) ^ mix(row.astype(np.uint64) + np.uint64(1)))
     lines = np.bincount(row, minlength=n_rows)
     _, first = np.unique(value, return_index=True)
     return lines, lines - np.bincount(row[first], minlength=n_rows)

@@ -4,9 +4,8 @@ A text is normalised by the model's compiled character map: at each place the lo
 of the rest is replaced, and for every normalised byte the source's byte offset is recorded.  Pieces lie end to
 end on the normalised text, so the recorded offsets project each of them to a span of original bytes.
 
-The ids are the library's.  Where a model can't hold a piece with a blank after another character, whose only
-normalisation is to mark blanks, words are encoded apart from each other and equal words once for each worker;
-any other model, and any text with the blank's own mark, is encoded whole.
+The ids are the library's, of whole texts.  The spans of a text's pieces tile it from its first byte to its last;
+where they don't, the alignment is wrong and the task fails.
 
 Cases: a null or empty text has the end id alone and decodes to an empty text.  Repeated rows and rows without
 an id are encoded each.  An empty table gives an empty result.
@@ -14,25 +13,20 @@ an id are encoded each.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._chunks import ChunkCache
+from ._text import slices, text_bytes
 
 MARK = "▁"
-#: Words that a worker remembers in each of two generations, about 400 bytes each.
-REMEMBERED = 50_000
-#: Texts whose unknown words are encoded together.
-GROUP = 64
+#: Bytes of text whose pieces are held at once; a longer text is held alone.
+GROUP_BYTES = 1 << 18
 _MARK = MARK.encode()
 
 
@@ -142,82 +136,35 @@ class PieceCodec:
         spec = proto.normalizer_spec
         self.normaliser = Normaliser(CharacterMap(spec.precompiled_charsmap), spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces, proto.trainer_spec.treat_whitespace_as_suffix)
         kinds = ModelProto.SentencePiece
-        self.sizes = np.array([1 if p.type == kinds.BYTE else 0 if p.type == kinds.CONTROL else len(p.piece.encode()) for p in proto.pieces], np.int64)
+        self.bytes = [bytes([int(p.piece[3:-1], 16)]) if p.type == kinds.BYTE else b"" if p.type == kinds.CONTROL else p.piece.encode() for p in proto.pieces]
+        self.sizes = np.array(list(map(len, self.bytes)), np.int64)
         self.unknown = self.library.unk_id()
         self.end = self.library.eos_id()
-        self.by_word = (
-            not self.normaliser.characters.units
-            and not spec.remove_extra_whitespaces
-            and spec.add_dummy_prefix
-            and spec.escape_whitespaces
-            and not self.normaliser.suffix
-            and proto.trainer_spec.model_type == proto.trainer_spec.BPE
-            and not any(p.type == kinds.USER_DEFINED or MARK in p.piece.lstrip(MARK) for p in proto.pieces)
-        )
-        self.words: ChunkCache[tuple[bytes, str]] = ChunkCache(lambda word: self._encode([word])[0], REMEMBERED)
-
-    def _encode(self, words: list[str]) -> list[tuple[bytes, str]]:
-        """Ids as bytes and as decimals of texts that each follow a mark; a mark alone stands for ''."""
-        got = self.library.encode(words, num_threads=1)
-        alone = self.library.piece_to_id(MARK)
-        got = [x or ([] if w else [alone]) for w, x in zip(words, got, strict=True)]
-        return [(array("i", x).tobytes(), " ".join(map(str, x))) for x in got]
-
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """The ids of ``text``, the end id last, and their decimals joined by blanks."""
-        return self.encode_many([text])[0]
-
-    def encode_many(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        cut = [words_of(t) if t and self.by_word and MARK not in t else None for t in texts]
-        self.words.learn(chain.from_iterable(filter(None, cut)), self._encode)
-        return [self._whole(t) if w is None else self._joined(w) for t, w in zip(texts, cut, strict=True)]
-
-    def _whole(self, text: str) -> tuple[np.ndarray, str]:
-        ids = [*self.library.encode(text), self.end] if text else [self.end]
-        return np.array(ids, np.int32), " ".join(map(str, ids))
-
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, str]:
-        raw, said = zip(*map(self.words.__getitem__, words), strict=True)
-        return np.append(np.frombuffer(b"".join(raw), np.int32), np.int32(self.end)), f"{' '.join(said)} {self.end}"
-
-    def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
-        """The span of original bytes of every id, two columns; the end id's span is empty.
-
-        Raises where the pieces don't lie end to end on the normalised text.
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of ``text``, the end id last."""
+        return [*self.library.encode(text), self.end] if text else [self.end]
+
+    def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each id's span of original bytes begins and ends; the end id's span is empty.
+
+        Raises where the pieces, end to end, are not the normalised text.
         """
         normal, origin = self.normaliser.normalise(text.encode())
-        sizes = self.sizes[ids]
-        if (ids == self.unknown).any():  # an unknown piece covers what the pieces around it leave
-            return self._spans_of_unknown(text, origin, ids)
-        ends = np.cumsum(sizes)
-        if ends[-1] != len(normal):
-            raise ValueError(f"pieces cover {ends[-1]} of {len(normal)} normalised bytes")
-        return np.stack([origin[ends - sizes], origin[ends]], axis=1)
-
-    def _spans_of_unknown(self, text: str, origin: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """An unknown piece's text is what the pieces before and after it leave; the library tells it."""
-        pieces = self.library.encode(text, return_type="proto").pieces
-        sizes = np.array([*(self.sizes[p.id] if p.id != self.unknown else len(p.piece.encode()) for p in pieces), *[0] * (len(ids) - len(pieces))])
-        ends = np.cumsum(sizes)
-        return np.stack([origin[ends - sizes], origin[ends]], axis=1)
-
-    def decode(self, ids: np.ndarray) -> str:
-        return self.library.decode(ids.tolist())
-
-
-def words_of(text: str) -> list[str]:
-    """What follows each first mark of a run: a word, and before it the blanks beyond the first."""
-    parts = text.split(" ")
-    if "" not in parts:
-        return parts
-    out, blanks = [], 0
-    for part in parts[:-1]:
-        if part:
-            out.append(" " * blanks + part)
-            blanks = 0
+        if self.unknown in ids:  # its bytes are what the pieces around it leave; the library tells them
+            found = self.library.encode(text, return_type="proto").pieces
+            bytes_ = [self.bytes[p.id] if p.id != self.unknown else p.piece.encode() for p in found]
+            bytes_ += [b""] * (len(ids) - len(bytes_))
+            sizes = np.fromiter(map(len, bytes_), np.int64, len(bytes_))
         else:
-            blanks += 1
-    return [*out, " " * blanks + parts[-1]]
+            bytes_, sizes = map(self.bytes.__getitem__, ids), self.sizes[ids]
+        if b"".join(bytes_) != normal:
+            raise ValueError("the pieces of a text are not its normalised bytes")
+        ends = np.cumsum(sizes)
+        return origin[ends - sizes], origin[ends]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.library.decode(ids)
 
 
 @lru_cache(maxsize=2)
@@ -235,19 +182,22 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                part = batch.slice(at, GROUP)
-                ids, spans = [], []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for text, (own_ids, _) in zip(texts, own.encode_many(texts), strict=True):
-                    ids.append(own_ids)
-                    spans.append(own.spans(text, own_ids))
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32())
-                both = np.concatenate(spans)
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(v), k)) for v, k in ((np.concatenate(ids), pa.int32()), (both[:, 0], pa.int64()), (both[:, 1], pa.int64()))]
-                if decoded:
-                    lists.append(pa.array([own.decode(x) for x in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["id", "ids", "starts", "ends", "decoded"][: 1 + len(lists)])
+            raw, offsets = text_bytes(batch.column(1))
+            for a, b in slices(offsets, GROUP_BYTES):
+                ids, starts, ends, sizes, back = [], [], [], [], []
+                for i in range(a, b):
+                    text = raw[offsets[i] : offsets[i + 1]].tobytes().decode()
+                    found = own.encode(text)
+                    span = own.spans(text, found)
+                    ids.append(np.array(found, np.int32))
+                    starts.append(span[0])
+                    ends.append(span[1])
+                    sizes.append(len(found))
+                    if decoded:
+                        back.append(own.decode(found))
+                at = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(x))) for x in (ids, starts, ends)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *lists, *[pa.array(back, pa.string())] * decoded], names=["id", "ids", "starts", "ends", "decoded"][: 4 + decoded])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, starts array<long>, ends array<long>{', decoded string' * decoded}").withColumnRenamed("id", id_col)
@@ -263,26 +213,13 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", *, into: str = "text
             at, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
             there = column.is_valid().to_pylist()
             # one row's ids at a time: as Python numbers they take ten times their size
-            yield pa.array([own.decode(values[a:b]) if ok else None for a, b, ok in zip(at[:-1], at[1:], there, strict=True)], pa.string())
+            yield pa.array([own.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(at[:-1], at[1:], there, strict=True)], pa.string())
 
     return df.withColumn(into, run(F.col(ids_col)))
 
 
 def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_tokens, ids_sha256, decoded_sha256)`` for every row, encoded with spans and decoded again."""
-    kind = df.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model)
-        for batch in batches:
-            n, said, back = [], [], []
-            for at in range(0, batch.num_rows, GROUP):
-                texts = [t or "" for t in batch.column(1).slice(at, GROUP).to_pylist()]
-                for text, (ids, decimals) in zip(texts, own.encode_many(texts), strict=True):
-                    n.append(len(own.spans(text, ids)))
-                    said.append(hashlib.sha256(decimals.encode()).hexdigest())
-                    back.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(back, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    """``(id, n_tokens, ids_sha256, decoded_sha256)`` of every row of ``encode``, a token for each span."""
+    rows = encode(df, model, id_col, text_col, decoded=True)
+    said = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return rows.select(id_col, F.size("ends").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

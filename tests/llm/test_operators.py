@@ -281,10 +281,10 @@ def test_tokenizers_by_word_equal_whole_texts():
     pairs, pieces = token_output.encoder(tokenizer(BYTE_PAIRS)), sentencepiece_codec.codec(tokenizer(PIECES))
     for t in texts:
         assert np.frombuffer(pairs.encode(t), "<u4").tolist() == pairs.library.encode(t, add_special_tokens=False).ids
-        ids, said = pieces.encode(t)
-        assert ids.tolist() == [*pieces.library.encode(t), pieces.end] and said == " ".join(map(str, ids.tolist()))
-        spans, raw = pieces.spans(t, ids), t.encode()
-        assert b"".join(raw[a:b] for a, b in spans) == raw
+        ids = pieces.encode(t)
+        assert ids == pieces.library.encode(t, add_eos=True)
+        (starts, ends), raw = pieces.spans(t, ids), t.encode()
+        assert b"".join(raw[a:b] for a, b in zip(starts, ends, strict=True)) == raw
 
 
 def test_sentencepiece_digests(spark, texts):
@@ -297,6 +297,13 @@ def test_sentencepiece_digests(spark, texts):
         digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
         assert tuple(r)[1:] == (len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids)))
     encoded = sentencepiece_codec.encode(frame(spark, rows), tokenizer(PIECES))
+    for r in encoded.collect():
+        raw, said = (by[r.doc_id] or "").encode(), [library.id_to_piece(i) for i in r.ids[:-1]]
+        assert r.ends[-1] == r.starts[-1] == len(raw) and r.starts[1:] == r.ends[:-1] and r.starts[0] == 0
+        for piece, a, b in zip(said, r.starts, r.ends, strict=False):
+            own = bytes([int(piece[3:-1], 16)]) if re.fullmatch("<0x..>", piece) else piece.encode()
+            marked = raw[a:b].replace(b" ", "▁".encode())
+            assert marked == own or (a == 0 and "▁".encode() + marked == own), (piece, raw[a:b])
     back = sentencepiece_codec.decode(encoded, tokenizer(PIECES)).collect()
     assert all(r.text == library.decode(library.encode(by[r.doc_id] or "")) for r in back)
     assert sentencepiece_codec.digests(empty(spark), tokenizer(PIECES)).count() == 0
@@ -565,3 +572,17 @@ def test_the_mask_hits_every_window_with_two_substitutions():
     mask = decontaminate.SPACED
     for gone in itertools.combinations(range(13), 2):
         assert any(all(o + m not in gone for m in mask) for o in range(13 - mask[-1]))
+
+
+def test_words_of_one_pattern_have_hashes_of_their_own(spark):
+    """Words on which any polynomial modulo a power of two gives one hash: a sequence of Thue and Morse, and its complement."""
+    for n in (1 << 10, 1 << 12):
+        bits = [bin(i).count("1") % 2 for i in range(n)]
+        one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+        rows = [(1, f"{one} {two}"), (2, one), (3, two), (4, f"{one}\n{two}"), (5, f"x y {one} x y {two} x y {one}")]
+        stats_ = {r.id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in decision_list.statistics(frame(spark, rows)).collect()}
+        assert stats_ == {i: stats(t) for i, t in rows}
+        groups = {r.doc_id: r.component_id for r in minmax_dedup.near_groups(frame(spark, rows)).collect()}
+        assert groups[2] == 2 and groups[3] == 3
+        model = brown_lm.fit(frame(spark, rows), exchange_words=4, exchange_classes=2)
+        assert model.n_types == len({w for _, t in rows for w in words(t)}) + 1
