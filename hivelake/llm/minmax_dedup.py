@@ -5,11 +5,14 @@ and the largest value of the set are kept, two unbiased samples of the Jaccard s
 Bands of ``ROWS`` values (the two of each of ``ROWS / 2`` permutations) are bucket keys, and there are so many
 bands that a pair at the threshold misses all of them with a probability below ``MISS``.
 
-Documents with equal sets are one class.  Classes that share a bucket, directly or through others, are a
-family.  Bands of eight values keep passages and licences that many documents share from making families: a
-similarity of 0.2 meets in a band three times in a million.  Within a family every pair of classes is
-compared on full sets, block by block, and each block gives the links of a spanning forest, never all pairs.
-The components of those links are the groups.
+Documents with equal sets are one class.  Classes that share a bucket are compared: each bucket is named by its
+smallest class, and the buckets of one name are one group, so classes that meet in many bands are compared once.
+Bands of eight values keep passages and licences that many documents share from making large buckets: a similarity
+of 0.2 meets in a band three times in a million.  Within a group every pair of classes is compared on full sets,
+block by block, and each block gives the links of a spanning forest, never all pairs.  The components of all
+links are the groups of near-duplicates.
+
+Words and shingles are known by 64-bit hashes, also where full sets are compared.
 
 Cases: a text without words, or null, has an empty set and is linked with nothing; a text of fewer than ``k``
 words is one shingle.  Rows with a null id are linked with nothing, their component is null and they are kept.
@@ -38,7 +41,7 @@ WORDS = 5
 ROWS = 8
 #: The chance that a pair at the threshold shares no band.
 MISS = 1e-6
-#: A family is compared in blocks of at most so many classes and about so many shingles.
+#: A group is compared in blocks of at most so many classes and about so many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 20
 SEED = 20_240_607
 
@@ -92,12 +95,13 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(a, b - a),
+                    batch.column(2).slice(a, b - a),
                     pa.array(n, pa.int64()),
                     pa.array((sums[0][at[1:]] - sums[0][at[:-1]]).astype(np.int64)),
                     pa.array((sums[1][at[1:]] - sums[1][at[:-1]]).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(filled)]), pa.int32()), pa.array(keys)),
                 ],
-                names=["id", "n", "c1", "c2", "bands"],
+                names=["id", "version", "n", "c1", "c2", "bands"],
             )
 
 
@@ -106,7 +110,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
     for batch in batches:
         text = batch.column(batch.schema.get_field_index("text"))
         c1, c2 = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("c1", "c2"))
-        rest = batch.select(["rep", "family", "blocks", "block"])
+        rest = batch.select(["node", "groups"])
         for a, b, words in word_slices(text, lower=True):
             sets, at = distinct_per_row(*runs_of(words, k), b - a)
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (sets, mix(sets ^ np.uint64(SEED)))]
@@ -129,13 +133,13 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
     total, width = int(often.sum()), max(64, min(4096, (1 << 21) // max(1, len(sets))))
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)), np.int64)
     for c in range(0, total, width):
         a, b = np.searchsorted(code, [c, c + width])
         x = np.zeros((len(sets), min(width, total - c)), np.float32)
         x[owner[a:b], code[a:b] - c] = 1
-        out += x[: len(left)] @ x[len(left) :].T
-    return out.astype(np.int64)
+        out += (x[: len(left)] @ x[len(left) :].T).astype(np.int64)  # at most the width, which a float holds
+    return out
 
 
 def forest(links: np.ndarray) -> np.ndarray:
@@ -153,10 +157,10 @@ def forest(links: np.ndarray) -> np.ndarray:
 
 def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between the classes of two blocks, or within one, as stars of their components."""
-    group = group.drop_duplicates("rep").sort_values("rep")
+    group = group.drop_duplicates("node").sort_values("node")
     sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
     size = np.array([len(s) for s in sets])
-    rep, lo = group["rep"].to_numpy(), group["block"].to_numpy() == group["lo"].to_numpy()
+    node, lo = group["node"].to_numpy(), group["block"].to_numpy() == group["lo"].to_numpy()
     first, second = np.flatnonzero(lo), np.flatnonzero(~lo)
     within = not len(second)
     if within:
@@ -171,40 +175,75 @@ def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     links |= links.T
     label = forest(links)
     other = label != np.arange(len(label))
-    return pd.DataFrame({"a": rep[label[other]], "b": rep[other]})
+    return pd.DataFrame({"a": node[label[other]], "b": node[other]})
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = WORDS, percent: int = 85, rows: int = ROWS, miss: float = MISS) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` for every row; ids are integers.
+def _grouped(docs: DataFrame, k: int, percent: int, rows: int, miss: float) -> DataFrame:
+    """``(id, version, n, alone, group, smallest)`` of every row of ``docs(id, text, version)``.
 
-    Two documents are linked if ``100 * shared >= percent * union`` of their sets.
+    ``group`` is the component's number, null for rows that are ``alone``, and ``smallest`` its smallest id.
     """
     bands = bands_for(percent, rows, miss)
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = written(docs.mapInArrow(lambda it: _signed(it, k, bands, rows), "id long, n long, c1 long, c2 long, bands array<long>"), "signatures")
-
-    classes = signed.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.min("n").alias("n"))
-    classes = written(classes, "classes")
-    # the representative's row has its class's bands; rows that repeat it are the same set
-    marked = signed.join(classes.select("c1", "c2", F.col("rep").alias("id")), ["c1", "c2", "id"], "left_semi")
-    keyed = marked.select(F.col("id").alias("rep"), F.explode("bands").alias("key"))
-    first = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").select("key", "lead")
-    stars = keyed.join(first, "key").where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-    families = components(stars).select(F.col("v").alias("rep"), F.col("component").alias("family"))
-
-    members = families.join(classes, "rep")
+    kinds = "id long, version string, n long, c1 long, c2 long, bands array<long>"
+    signed = written(docs.select("id", "text", "version").mapInArrow(lambda it: _signed(it, k, bands, rows), kinds), "signatures")
+
+    classes = signed.where("n > 0 AND id IS NOT NULL").groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.min("n").alias("n"))
+    # numbers that stay as they are: they are read from the table
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # a row of the class's smallest id has its bands; rows that repeat both are the same set
+    marked = signed.join(classes.select("c1", "c2", F.col("rep").alias("id"), "node"), ["c1", "c2", "id"])
+    keyed = marked.select("node", F.explode("bands").alias("key"))
+    lead = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("key", "lead")
+    members = keyed.join(lead, "key").select("node", "lead").distinct().join(classes, "node")
+    members = written(members, "members")
+
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    sizes = members.groupBy("family").agg(blocks.alias("blocks"))
-    members = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    texts = docs.join(members.withColumnRenamed("rep", "id"), "id").withColumnRenamed("id", "rep").select("rep", "family", "blocks", "block", "c1", "c2", "text")
-    full = texts.mapInArrow(lambda it: _with_sets(it, k), "rep long, family long, blocks int, block int, shingles binary")
-    pairs = full.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("rep", "family", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "shingles")
-    links = pairs.groupBy("family", "lo", "hi").applyInPandas(lambda g: _compare(g, percent), "a long, b long")
-    groups = components(links).select(F.col("v").alias("rep"), "component")
-
-    named = classes.join(groups, "rep", "left").select("c1", "c2", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
+    sizes = members.groupBy("lead").agg(blocks.alias("blocks"))
+    placed = members.join(sizes, "lead").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a class is in no more groups than it has bands
+    placed = placed.groupBy("node", "rep", "c1", "c2").agg(F.collect_list(F.struct("lead", "blocks", "block")).alias("groups"))
+    texts = docs.join(placed.withColumnRenamed("rep", "id"), "id").select("node", "groups", "c1", "c2", "text")
+    full = texts.mapInArrow(lambda it: _with_sets(it, k), "node long, groups array<struct<lead: long, blocks: int, block: int>>, shingles binary")
+    pairs = full.select("node", "shingles", F.inline("groups")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.select("node", "lead", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "shingles")
+    links = pairs.groupBy("lead", "lo", "hi").applyInPandas(lambda g: _compare(g, percent), "a long, b long")
+    groups = components(links).select(F.col("v").alias("node"), "component")
+
+    named = classes.join(groups, "node", "left").select("c1", "c2", "rep", F.coalesce("component", "node").alias("group"))
+    smallest = named.groupBy("group").agg(F.min("rep").alias("smallest"))
+    named = named.join(smallest, "group").drop("rep")
+    out = signed.select("id", "version", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
     alone = (F.col("n") == 0) | F.col("id").isNull()
-    component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
+    return out.select("id", "version", "n", alone.alias("alone"), F.when(~alone, F.col("group")).alias("group"), F.when(~alone, F.col("smallest")).alias("smallest"))
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = WORDS, percent: int = 85, rows: int = ROWS, miss: float = MISS) -> DataFrame:
+    """``(id, n_shingles, component_id, kept)`` for every row; ids are integers.
+
+    Two documents are linked if ``100 * shared >= percent * union`` of their sets.
+    """
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit("").alias("version"))
+    out = _grouped(docs, k, percent, rows, miss)
+    component = F.when(F.col("alone"), F.col("id")).otherwise(F.col("smallest"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
+
+
+def without_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = WORDS, percent: int = 85, rows: int = ROWS, miss: float = MISS) -> DataFrame:
+    """One row of each group of near-duplicates, with all columns, and every row that is linked with nothing.
+
+    The row with the smallest id stays; of rows that repeat it, that whose text has the smallest MD5; and of rows
+    that repeat both, that whose columns come first in order.  Rows without an id or without words all stay, and
+    texts that differ too much to be linked stay also where they repeat an id.  Columns have types with an order.
+    """
+    keyed = df.withColumns({"__id": F.col(id_col).cast("long"), "__version": F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))})
+    told = written(_grouped(keyed.select(F.col("__id").alias("id"), F.col(text_col).alias("text"), F.col("__version").alias("version")), k, percent, rows, miss), "grouped")
+    one = F.min(F.struct("id", "version")).alias("one")
+    kept = told.where("NOT alone").groupBy("group").agg(one, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("group", "one")
+    goes = told.where("NOT alone").join(kept, "group").where(F.struct("id", "version") != F.col("one")).select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
+    rest = keyed.join(goes, ["__id", "__version"], "left_anti")
+    again = told.where("NOT alone").groupBy("id", "version").count().where("count > 1").select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+    if again.isEmpty():
+        return rest.select(*df.columns)
+    # equal rows add up in every task before they are shuffled
+    same = rest.join(again, ["__id", "__version"], "left_semi").groupBy("__id", "__version").agg(F.min(F.struct(*df.columns)).alias("row")).select("row.*")
+    return rest.join(again, ["__id", "__version"], "left_anti").select(*df.columns).unionByName(same)
