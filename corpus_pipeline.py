@@ -5,10 +5,15 @@ again for the next.  All but the last return the columns of ``documents``.
 
 - toxicity: documents that the classifier scores at 0.5 or more go;
 - near_dedup: of each group of near-duplicates, five-word shingles at a similarity of 0.8, the document with
-  the smallest id stays;
+  the smallest id stays, and of rows that repeat it that with the smallest MD5 of its text;
 - decontaminate: documents into which a benchmark item leaks go;
 - pii: personal data in the texts is replaced by its kind, and ``n_chars`` follows;
 - sentencepiece: the pieces of every text, their byte spans, and what they decode to.
+
+Cases: a null text is an empty one to every stage and stays null until the last; such rows, and rows without an id,
+are no near-duplicates and stay.  Rows that repeat an id are judged each by its own text by all stages but
+decontaminate, which reports a leak by its id and drops all rows of it.  Further columns are left out by the first
+stage.  Empty tables, of documents, labels or benchmark, give empty results or drop nothing.
 """
 
 from __future__ import annotations
@@ -36,14 +41,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat a kept document's id are copies too: one of them stays.  Rows without an id all stay."""
     importable(spark)
-    groups = minmax_dedup.near_groups(docs, percent=SIMILARITY).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.select(*COLUMNS).join(groups, F.col("doc_id") == F.col("__dropped"), "left_anti")
-    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not again:
-        return kept
-    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull()))
+    return minmax_dedup.without_duplicates(docs.select(*COLUMNS), percent=SIMILARITY)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
