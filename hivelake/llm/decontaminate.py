@@ -9,11 +9,12 @@ Words are runs of letters and digits, in lower case.  A benchmark text of fewer
 occur in full, unchanged; one of fewer than five words is no evidence and is never reported.
 
 The benchmark's seeds are broadcast if there are at most ``BROADCAST_SEEDS`` of them.  Beyond that the seeds of
-both sides are shuffled and the texts joined again to the hits.  What is carried on from a text is one row
-for each window that leaks, summed per text and item before it is shuffled.
+both sides are shuffled and the texts joined again to the hits, by their ids and a hash of their words.  What is
+carried on from a text is one row for each window that leaks, summed per text and item before it is shuffled.
 
-Cases: null and empty texts leak nothing.  A null id, of a text or an item, is reported as null; rows that repeat an id are reported
-together.  Benchmark items that repeat a text are reported each.  Empty tables give an empty result.
+Cases: null and empty texts leak nothing.  A null id, of a text or an item, is reported as null; rows that repeat
+an id are reported together, but ``without_leaks`` judges each by its own text.  Benchmark items that repeat a text
+are reported each.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -94,8 +95,10 @@ def leaks(
         if small:
             hits = hits.join(hint(seeds), "h").join(whole, same)
         else:
-            hits = hits.select("id", "pos", "h").join(seeds, "h").select("id", "item", "pos", "item_pos").distinct()
-            hits = hits.join(whole, same).join(texts, hits.id.eqNullSafe(texts.id)).drop(texts.id)
+            mark = F.xxhash64("words").alias("mark")  # null ids, and rows that repeat an id, meet their own words alone
+            hits = hits.select("id", mark, "pos", "h").join(seeds, "h").select("id", "mark", "item", "pos", "item_pos").distinct()
+            full = texts.select(F.col("id").alias("own"), mark, "words").distinct()
+            hits = hits.join(whole, same).join(full, (hits.mark == full.mark) & hits.id.eqNullSafe(full.own)).drop(full.mark)
         found.append(hits.select("id", "item", F.inline(_windows(mask, window, need))))
     rows = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     return rows.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(
@@ -105,5 +108,7 @@ def leaks(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
     """The rows of ``docs`` into which no benchmark item leaks, with all their columns."""
-    found = leaks(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("__leaking")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["__leaking"]), "left_anti")
+    row = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    marked = docs.withColumn("__row", row)
+    found = leaks(marked, benchmark, "__row", text_col, **options).select("__row").distinct()
+    return marked.join(found, "__row", "left_anti").select(*docs.columns)

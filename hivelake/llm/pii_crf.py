@@ -19,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -480,7 +482,12 @@ def all_spans(texts: Sequence[str], model: ChainField) -> list[tuple[list[Span],
     for text, added in zip(texts, field_spans(texts, model), strict=True):
         base = pattern_spans(text)
         taken = sorted(base)
-        free = [s for s in added if not any(a < s[1] and s[0] < b for a, b, _ in taken)] if taken else added
+        starts, reach = [a for a, _, _ in taken], list(accumulate((b for _, b, _ in taken), max))
+        free = []
+        for s in added:
+            before = bisect_left(starts, s[1])  # the spans that begin before this one ends
+            if not before or reach[before - 1] <= s[0]:
+                free.append(s)
         out.append((base, sorted([*base, *free], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))))
     return out
 

@@ -3,7 +3,12 @@
 The cascade's level 0 encodes the listed domains.  Level 1 encodes the domains of the corpus that level 0
 takes for listed though they are not; level 2 the listed ones that level 1 takes for unlisted; and so on
 until a level has no false positive left.  The first level that lacks a key decides it, by its parity.  The
-levels are built from every domain that occurs in the corpus, so the answer is exact for each of them.
+levels are built from every domain that occurs in the corpus and has no more labels than the longest listed one
+(longer ones can't be listed), so the answer is exact for each of them.
+
+A cascade of at most ``BROADCAST_BYTES`` is sent to every task, and urls are judged where they are read.  Beyond
+that its shards stay apart, and each distinct host goes to the shards of its domains; hosts with very many urls
+meet their verdict by a broadcast.
 
 Cases: a null url, or one without ``://``, has an empty host and path and gets no rule; an empty host is in
 no list and is allowed.  Repeated rows are judged alike, an empty table gives an empty result, and columns
@@ -15,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._hot import join_hot
 from ._scratch import written
 from ._text import mix
 
@@ -70,9 +77,9 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def domains_of(host: str) -> list[str]:
-    """The host itself and every domain above it."""
-    parts = host.split(".")
+def domains_of(host: str, depth: int) -> list[str]:
+    """The domains of at most ``depth`` labels among the host itself and every domain above it."""
+    parts = host.rsplit(".", depth)[-depth:]
     return [".".join(parts[i:]) for i in range(len(parts))] if host else []
 
 
@@ -124,24 +131,37 @@ def cascade_lookup(levels: list[tuple[int, int, bytes]], hashes: np.ndarray) ->
     return listed
 
 
-def _domain_rows(batches: Iterator[pd.DataFrame], n_shards: int) -> Iterator[pd.DataFrame]:
+def _domain_rows(batches: Iterator[pd.DataFrame], n_shards: int, depth: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(h, d) for h in batch["host"] for d in domains_of(h or "")]
+        rows = [(h, d) for h in batch["host"] for d in domains_of(h or "", depth)]
         hashes = key_hashes(d for _, d in rows)
         yield pd.DataFrame({"host": [h for h, _ in rows], "domain": [d for _, d in rows], "shard": (hashes[:, 0] % np.uint64(n_shards)).astype("int32")})
 
 
-def build_cascade(hosts: DataFrame, listed: DataFrame, *, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
-    """The levels of every shard, one row each, and the number of shards.
+def labels_of(domain: Column) -> Column:
+    return F.length(domain) - F.length(F.replace(domain, F.lit("."), F.lit(""))) + 1
+
+
+@dataclass(frozen=True)
+class Cascade:
+    """The levels of every shard, a row each, the number of shards, and the labels of the longest listed domain."""
+
+    levels: DataFrame
+    n_shards: int
+    depth: int
 
-    ``hosts`` has a column ``host`` of distinct hosts, ``listed`` a column ``domain``.  The universe is every
-    domain of every host together with the list.
+
+def build_cascade(hosts: DataFrame, listed: DataFrame, *, shard_keys: int = SHARD_KEYS) -> Cascade:
+    """``hosts`` has a column ``host`` of distinct hosts, ``listed`` a column ``domain``.
+
+    The universe is every domain of every host, as far as it could be listed, together with the list.
     """
-    spark = hosts.sparkSession
+    size = listed.where("domain <> ''").agg(F.count(F.lit(1)), F.coalesce(F.max(labels_of(F.col("domain"))), F.lit(1))).first()
+    depth = size[1]
+    total = size[0] + hosts.agg(F.coalesce(F.sum(F.least(labels_of(F.col("host")), F.lit(depth))), F.lit(0))).first()[0]
+    n_shards = max(1, math.ceil(total / shard_keys))
     rows = T.StructType([T.StructField("host", T.StringType()), T.StructField("domain", T.StringType()), T.StructField("shard", T.IntegerType())])
-    total = hosts.count() + listed.count()
-    n_shards = max(1, math.ceil(4 * total / shard_keys))
-    universe = hosts.mapInPandas(lambda it: _domain_rows(it, n_shards), rows).select("domain", "shard", F.lit(0).alias("is_listed"))
+    universe = hosts.mapInPandas(lambda it: _domain_rows(it, n_shards, depth), rows).select("domain", "shard", F.lit(0).alias("is_listed"))
 
     def list_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -156,7 +176,7 @@ def build_cascade(hosts: DataFrame, listed: DataFrame, *, shard_keys: int = SHAR
         levels = cascade_levels(hashes[flags], hashes[~flags])
         return pd.DataFrame([(int(batch["shard"].iloc[0]), i, *x) for i, x in enumerate(levels)], columns=LEVEL_SCHEMA.names)
 
-    return written(keys.groupBy("shard").applyInPandas(build, LEVEL_SCHEMA), "cascade"), n_shards
+    return Cascade(written(keys.groupBy("shard").applyInPandas(build, LEVEL_SCHEMA), "cascade"), n_shards, depth)
 
 
 def _by_shard(rows: Iterable) -> dict[int, list[tuple[int, int, bytes]]]:
@@ -166,10 +186,10 @@ def _by_shard(rows: Iterable) -> dict[int, list[tuple[int, int, bytes]]]:
     return out
 
 
-def _hosts_listed(hosts: Iterable[str], shards: dict[int, list[tuple[int, int, bytes]]], n_shards: int) -> np.ndarray:
+def _hosts_listed(hosts: Iterable[str], shards: dict[int, list[tuple[int, int, bytes]]], n_shards: int, depth: int) -> np.ndarray:
     """Whether a host or a domain above it is listed."""
     hosts = list(hosts)
-    per_host = [domains_of(h) for h in hosts]
+    per_host = [domains_of(h, depth) for h in hosts]
     hashes = key_hashes(d for ds in per_host for d in ds)
     owner = np.repeat(np.arange(len(hosts)), [len(ds) for ds in per_host])
     shard, out = (hashes[:, 0] % np.uint64(n_shards)).astype(int), np.zeros(len(hosts), bool)
@@ -179,31 +199,31 @@ def _hosts_listed(hosts: Iterable[str], shards: dict[int, list[tuple[int, int, b
     return out
 
 
-def with_listed(df: DataFrame, cascade: DataFrame, n_shards: int, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def with_listed(df: DataFrame, cascade: Cascade, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` and a column ``listed``: its ``host`` or a domain above it is in the list."""
-    spark = df.sparkSession
-    size = cascade.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
+    spark, n_shards, depth = df.sparkSession, cascade.n_shards, cascade.depth
+    size = cascade.levels.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
-        shared = spark.sparkContext.broadcast(_by_shard(cascade.collect()))
+        shared = spark.sparkContext.broadcast(_by_shard(cascade.levels.collect()))
 
         @F.pandas_udf("boolean")
         def listed(hosts: pd.Series) -> pd.Series:
             codes, distinct = pd.factorize(hosts)
-            return pd.Series(_hosts_listed(distinct, shared.value, n_shards)[codes])
+            return pd.Series(_hosts_listed(distinct, shared.value, n_shards, depth)[codes])
 
         return df.withColumn("listed", listed("host"))
 
     # too large to broadcast: every distinct host goes to the shards of its domains
     rows = T.StructType([T.StructField("host", T.StringType()), T.StructField("domain", T.StringType()), T.StructField("shard", T.IntegerType())])
-    keys = df.select("host").distinct().mapInPandas(lambda it: _domain_rows(it, n_shards), rows)
+    keys = df.select("host").distinct().mapInPandas(lambda it: _domain_rows(it, n_shards, depth), rows)
 
     def look(batch: pd.DataFrame, levels: pd.DataFrame) -> pd.DataFrame:
         found = cascade_lookup(next(iter(_by_shard(levels.itertuples(index=False)).values()), []), key_hashes(batch["domain"]))
         return pd.DataFrame({"host": batch["host"], "listed": found})
 
-    verdicts = keys.groupBy("shard").cogroup(cascade.groupBy("shard")).applyInPandas(look, "host string, listed boolean")
+    verdicts = keys.groupBy("shard").cogroup(cascade.levels.groupBy("shard")).applyInPandas(look, "host string, listed boolean")
     verdicts = verdicts.groupBy("host").agg(F.max("listed").alias("listed"))
-    return df.join(verdicts, "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    return join_hot(df, verdicts, "host").withColumn("listed", F.coalesce("listed", F.lit(False)))
 
 
 def judge_urls(
@@ -221,8 +241,8 @@ def judge_urls(
     if not isinstance(listed, DataFrame):
         listed = spark.createDataFrame([(x,) for x in listed], "domain string")
     parsed = df.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    cascade, n_shards = build_cascade(parsed.select("host").distinct(), listed.select("domain").distinct(), shard_keys=shard_keys)
+    cascade = build_cascade(parsed.select("host").distinct(), listed.select("domain").distinct(), shard_keys=shard_keys)
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    judged = with_listed(parsed, cascade, n_shards, broadcast_bytes=broadcast_bytes)
+    judged = with_listed(parsed, cascade, broadcast_bytes=broadcast_bytes)
     verdict = F.coalesce(says, F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow")))
     return judged.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("verdict"))

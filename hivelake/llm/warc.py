@@ -1,10 +1,13 @@
 """Content-addressed WARC archive.
 
-An archive is a folder of two tables: ``payloads`` holds each distinct payload once under its SHA-256, and
-``headers`` holds the exact header block of every record with the digest that it names.  A record is put
+An archive is a folder: ``payloads`` holds each distinct payload once under its SHA-256, dealt into buckets by
+it, and ``headers`` holds the exact header block of every record with the digest that it names.  A record is put
 together again by a join on the digest: header block, empty line, payload, two line ends.  Digests are
 checked against the stored bytes as an archive is read.
 
+Payload bytes are shuffled once, to write them; readers shuffle header blocks to the buckets.  Copies of one payload
+meet in each task before they are shuffled, and long payloads are read by their response alone.
+
 Of the records with one payload of at least ``least`` bytes, that with the smallest id is the response and
 the others revisit it; smaller payloads, which cost less than a reference, are responses all (they too are
 stored once).
@@ -16,9 +19,12 @@ stored payload.  An empty table makes an empty archive, and columns that are not
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._hot import join_hot
 from ._scratch import new_path, remove, written
 
 #: Payloads of fewer bytes are never revisited.
@@ -53,31 +59,25 @@ def header_block(id_: Column, url: Column, payload_bytes: Column, digest: Column
 
 
 def write_archive(df: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url", *, least: int = LEAST_BYTES) -> None:
-    """Write ``path/payloads`` and ``path/headers``.
-
-    Only digests, lengths and ids are shuffled to find the owners of the payloads.  The payload bytes stay
-    where they are read unless so many rows are copies that the list of copies can't be broadcast.
-    """
+    """Write ``path/payloads``, ``path/headers`` and ``path/layout``; only ids, urls and digests find the owners."""
+    spark = df.sparkSession
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("n"))
     rows = written(rows, "warc-rows")
-    owners = rows.groupBy("digest").agg(F.min("id").alias("owner"))
-    told = rows.join(owners, "digest", "left")
+    told = join_hot(rows, rows.groupBy("digest").agg(F.min("id").alias("owner")), "digest")
     revisit = (F.col("n") >= least) & F.col("owner").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
     header = header_block(F.col("id"), F.col("url"), F.col("n"), F.col("digest"), kind, F.col("owner"))
-    told.select("id", "digest", header.alias("header")).write.parquet(f"{path}/headers")
-
-    # the copies: rows other than their digest's owner, whose bytes need not be stored
-    copies = rows.join(owners, "digest").where(F.col("id") > F.col("owner")).select(F.col("id").alias("copy"), F.col("digest").alias("copied")).distinct()
-    full = df.select(F.col(id_col).alias("id"), payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    kept = full.join(copies, (F.col("id") == F.col("copy")) & (F.col("digest") == F.col("copied")), "left_anti")
-    # what is left repeats a digest only for rows without an id and rows that repeat their id
-    repeats = rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("k")).where((F.col("k") > 1) | F.col("id").isNull()).limit(1).count()
-    kept = kept.select("digest", "payload")
-    (kept.dropDuplicates(["digest"]) if repeats else kept).write.parquet(f"{path}/payloads")
+    told.select("digest", header.alias("header")).write.parquet(f"{path}/headers")
     remove(rows)
 
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = df.select(payload.alias("payload")).groupBy(F.sha2("payload", 256).alias("digest")).agg(F.first("payload").alias("payload"))
+    name = f"warc_{uuid.uuid4().hex}"
+    stored.write.bucketBy(buckets, "digest").sortBy("digest").option("path", f"{path}/payloads").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the name alone: the files are the archive's
+    spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path}/layout")
+
 
 def _header(name: str) -> Column:
     return F.regexp_extract("header", rf"(?:^|\r\n){name}: ([^\r\n]*)\r\n", 1)
@@ -99,29 +99,51 @@ def read_headers(spark: SparkSession, path: str, id_type: str = "long") -> DataF
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """``(digest, payload, n)``; a stored payload that does not have its digest fails the read."""
-    df = spark.read.parquet(f"{path}/payloads")
+    """``(digest, payload)``; a stored payload that does not have its digest fails the read."""
+    buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
+    name = f"warc_{uuid.uuid4().hex}"
+    at = f"{path}/payloads".replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} (digest string, payload binary) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{at}'")
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
     right = F.sha2("payload", 256) == F.col("digest")
     payload = F.when(right, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload differs from its digest "), "digest")).cast("binary"))
     return df.select("digest", payload.alias("payload"))
 
 
-def read_records(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
-    """Every record with its fields, its payload, and its exact bytes."""
-    told = read_headers(spark, path, id_type)
-    rows = told.join(read_payloads(spark, path), told.payload_digest == F.col("digest"), "left")
-    block = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    record = F.concat(F.col("header").cast("binary"), F.lit(b"\r\n"), block, F.lit(b"\r\n\r\n"))
-    return rows.select("id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", record.alias("record"))
+def read_records(spark: SparkSession, path: str, id_type: str = "long", *, least: int = LEAST_BYTES) -> DataFrame:
+    """Every record with its fields as its header states them, its own payload, and its exact bytes.
+
+    A revisit has no payload of its own: ``payload_digest`` finds it in ``read_payloads``.  ``least`` tells which
+    payloads many responses may share; any number gives the same records.
+    """
+    told = read_headers(spark, path, id_type).withColumnRenamed("payload_digest", "digest")
+    stored = read_payloads(spark, path)
+    response = told.where("record_type = 'response'")
+    long = response.where(F.col("payload_bytes") >= least).join(stored, "digest", "left")
+    short = join_hot(response.where(F.col("payload_bytes") < least), stored.where(F.octet_length("payload") < least), "digest")
+    lost = F.raise_error(F.concat(F.lit("no payload has the digest "), "digest")).cast("binary")
+    held = long.unionByName(short).withColumn("payload", F.coalesce("payload", lost))
+    rows = held.unionByName(told.where("record_type <> 'response'").withColumn("payload", F.lit(None).cast("binary")))
+    record = F.concat(F.col("header").cast("binary"), F.lit(b"\r\n"), F.coalesce("payload", F.lit(b"")), F.lit(b"\r\n\r\n"))
+    return rows.select("id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "payload", record.alias("record"))
 
 
 def read_index(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
-    """As ``read_records``, but of each payload only its checked digest and length meet the headers."""
-    told = read_headers(spark, path, id_type).drop("payload_bytes", "header")
-    stored = read_payloads(spark, path).select("digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
-    rows = told.join(stored, told.payload_digest == stored.digest, "left")
-    known = F.when(F.col("digest").isNotNull(), F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("no payload has the digest "), "payload_digest")).cast("long"))
-    return rows.select("id", known.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    """Every record without its payload; lengths and digests are those of the payloads in the rebuilt records.
+
+    A response's are taken from its record's bytes, a revisit's from the record that it refers to.
+    """
+    text = F.col("record")
+    head = F.position(F.lit(b"\r\n\r\n"), text)  # the last line end of the header block, and the empty line
+    block = F.substring(text, head + 4, F.octet_length(text) - head - 7)
+    rows = read_records(spark, path, id_type).select("id", "record_type", "refers_to", F.col("payload_digest").alias("digest"), F.octet_length(block).cast("long").alias("n"), F.sha2(block, 256).alias("found"))
+    rows = written(rows, "warc-index")
+    responses, revisits = rows.where("record_type = 'response'"), rows.where("record_type <> 'response'").drop("n", "found")
+    own = responses.groupBy("digest").agg(F.max("n").alias("n"), F.max("found").alias("found"))
+    every = responses.unionByName(join_hot(revisits, own, "digest").select(*responses.columns))
+    whole = F.when(F.col("found") == F.col("digest"), F.col("found")).otherwise(F.raise_error(F.concat(F.lit("a record's payload differs from its digest "), "digest")))
+    return every.select("id", F.col("n").alias("payload_bytes"), whole.alias("payload_digest"), "record_type", "refers_to")
 
 
 def export_warc(spark: SparkSession, path: str, out: str, *, compression: str = "gzip") -> None:

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hivelake.llm import brown_lm, decision_list, decontaminate, minmax_dedup, pii_crf, sentencepiece_codec, token_output, toxicity, url_filter, warc
+from hivelake.llm import _hot
 from hivelake.llm._graph import components
 from hivelake.llm._sample import from_the_top
 from hivelake.llm.queries import BYTE_PAIRS, PIECES, tokenizer
@@ -81,6 +82,18 @@ def test_url_rules_and_exact_membership(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_hosts_of_very_many_labels(spark, monkeypatch):
+    monkeypatch.setattr(_hot, "LEAST_ROWS", 3)
+    monkeypatch.setattr(_hot, "HOT_KEYS", 5)
+    long = "a." * 300_000 + "x.spam.com"
+    rows = [(1, f"http://{long}/"), (2, f"http://{'a.' * 300_000}good.com/"), (3, "http://spam.com"), (4, "http://com"), (5, "http://x.y.spam.com"), *((i, "http://m.spam.com/p") for i in range(10, 60))]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    for most in (url_filter.BROADCAST_BYTES, 0):
+        got = {r.page_id: r.verdict for r in url_filter.judge_urls(df, rules=(), listed=["x.spam.com", "m.spam.com", "other.org"], broadcast_bytes=most, shard_keys=4).collect()}
+        assert got == {1: "block", 2: "allow", 3: "allow", 4: "allow", 5: "allow"} | {i: "block" for i in range(10, 60)}
+    assert url_filter.domains_of("a.b.c.d", 2) == ["c.d", "d"] and url_filter.domains_of("a.b", 5) == ["a.b", "b"] and url_filter.domains_of("", 3) == []
+
+
 def test_cascade_is_exact_for_its_universe():
     keys = [f"k{i}" for i in range(20_000)]
     hashes = url_filter.key_hashes(keys)
@@ -108,7 +121,9 @@ def test_warc_round_trip(spark, tmp_path):
     for r in warc.read_records(spark, path).collect():
         head, body = bytes(r.record).split(b"\r\n\r\n", 1)
         size = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert body == (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n" and size == len(body) - 4
+        assert body == bytes(r.payload or b"") + b"\r\n\r\n" and size == len(body) - 4 and (r.payload is None) == (r.record_type == "revisit")
+        if r.record_type == "response":
+            assert hashlib.sha256(body[:-4]).hexdigest() == r.payload_digest
     warc.export_warc(spark, path, str(tmp_path / "warc"), compression="none")
     raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "warc").glob("part-*")))
     count = at = 0
@@ -119,6 +134,34 @@ def test_warc_round_trip(spark, tmp_path):
         at, count = end + 8 + size, count + 1
     assert count == len(rows)
     assert warc.archive_round_trip(df.limit(0)).count() == 0
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Bucketed: true" in warc.read_records(spark, path)._jdf.queryExecution().executedPlan().toString()  # payloads are not shuffled again
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def test_warc_with_hot_payloads(spark, monkeypatch):
+    monkeypatch.setattr(_hot, "LEAST_ROWS", 5)
+    monkeypatch.setattr(_hot, "HOT_KEYS", 10)
+    pages = [(i, f"u{i}", ("y" * 300 if i % 3 == 0 else "" if i % 3 == 1 else f"own {i} " * 30)) for i in range(300, 0, -1)]
+    got = {tuple(r) for r in warc.archive_round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = set()
+    for i, _, t in pages:
+        again = i % 3 == 0 and i > 3
+        want.add((i, len(t), hashlib.sha256(t.encode()).hexdigest(), "revisit" if again else "response", 3 if again else None))
+    assert got == want
+
+
+def test_a_changed_payload_fails_the_read(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    warc.write_archive(spark.createDataFrame([(1, "u", "z" * 200)], "page_id long, url string, html string"), path)
+    other = warc.read_payloads(spark, path).withColumn("payload", F.lit(b"other")).collect()
+    spark.createDataFrame([(r.digest, bytes(r.payload)) for r in other], "digest string, payload binary").write.mode("overwrite").bucketBy(4, "digest").option("path", f"{path}/payloads").saveAsTable("changed_payloads")
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_index(spark, path).collect()
+    spark.sql("DROP TABLE changed_payloads")
 
 
 # 3
