@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
+from ._hot import join_hot
 from ._scratch import remove, written
 from ._text import distinct_per_row, mix, runs_of, word_slices
 
@@ -199,10 +200,11 @@ def _grouped(docs: DataFrame, k: int, percent: int, rows: int, miss: float) -> D
 
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = members.groupBy("lead").agg(blocks.alias("blocks"))
-    placed = members.join(sizes, "lead").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = join_hot(members, sizes, "lead").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a class is in no more groups than it has bands
     placed = placed.groupBy("node", "rep", "c1", "c2").agg(F.collect_list(F.struct("lead", "blocks", "block")).alias("groups"))
-    texts = docs.join(placed.withColumnRenamed("rep", "id"), "id").select("node", "groups", "c1", "c2", "text")
+    # a shuffle at every size: what is sent grows in proportion, and no list of classes goes to all tasks
+    texts = docs.join(placed.withColumnRenamed("rep", "id").hint("shuffle_merge"), "id").select("node", "groups", "c1", "c2", "text")
     full = texts.mapInArrow(lambda it: _with_sets(it, k), "node long, groups array<struct<lead: long, blocks: int, block: int>>, shingles binary")
     pairs = full.select("node", "shingles", F.inline("groups")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("node", "lead", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "shingles")
