@@ -3,14 +3,21 @@
 Lineage is cut by writing a table under ``spark.checkpoint.dir`` and reading it again, so a lost executor
 costs no more than the tasks it was running.  Where the setting is absent, as in tests, the session's own
 warehouse folder takes its place.
+
+Results are read from such tables as long as they are used, so the tables stay: ``scratch`` deletes those of one step
+once its result is written elsewhere, ``clear`` all that this program made.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -20,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def written(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
@@ -33,11 +41,31 @@ def written(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def remove(*tables: DataFrame | None) -> None:
     """Delete tables that ``written`` made and nothing reads any more."""
     for df in tables:
         path = getattr(df, "_scratch_path", None)
         if path:
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(df.sparkSession, path)
+
+
+def clear(spark: SparkSession, since: int = 0) -> None:
+    """Delete what this program put into the shared folder; no result of it can be read any more."""
+    for path in _made[since:]:
+        _delete(spark, path)
+    del _made[since:]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end all that was put into the shared folder inside; for one thread."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        clear(spark, since)

@@ -43,6 +43,8 @@ EVIDENCE, ASSIGN_PASSES = 16, 2
 FREQUENT_WORDS = 1 << 18
 #: Counts by which a transition leans on the frequency of the class it leads to.
 LEAN = 20.0
+#: Rows that repeat an id and a text are made of their common score, so many at once.
+COPIES_AT_ONCE = 1 << 16
 #: Words that a counting task holds before it passes them on.
 PENDING = 1 << 20
 
@@ -404,13 +406,13 @@ def fit(
 def _scored(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     """A row for each text, with all that needs no join, and one for each of its rarer words.
 
-    Columns: key, id and its fold as they came; h, the word or a number spread over the partitions; tf, 0 for a text.
+    Columns: id and key as they came; h, the word or a number spread over the partitions; tf, 0 for a text.
     """
     frequent, log_c, known, label, of_shape, transition, within, log_end, ends = shared.value
     end_class = len(within) - 1
     for batch in batches:
-        key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        for a, b, words in word_slices(batch.column(3), lower=True):
+        key = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b, words in word_slices(batch.column(2), lower=True):
             n = b - a
             classes = _symbols(words, _places(words, known), label, of_shape)
             tokens, before, rows = _with_ends(classes, words, end_class)
@@ -430,14 +432,12 @@ def _scored(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
             first = np.flatnonzero(new)
             tf = np.diff(np.append(first, len(rare)))
             m = len(first)
-            keys = np.concatenate([key[a:b], key[a:b][rare_row[first]]])
-            ids = pa.concat_arrays([batch.column(1).slice(a, n), pa.nulls(m, batch.column(1).type)])
-            held = pa.concat_arrays([batch.column(2).slice(a, n), pa.nulls(m, pa.bool_())])
+            own = np.concatenate([np.arange(a, b), a + rare_row[first]])
             h = np.concatenate([mix(key[a:b].view(np.uint64)), rare[first]]).view(np.int64)
             pad = lambda x: pa.array(np.concatenate([x, np.zeros(m, x.dtype)]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), ids, held, pa.array(h), pa.array(np.concatenate([np.zeros(n, np.int64), tf])), pad(words.counts().astype(np.int64) + 1), pad(n_known.astype(np.int64)), pad(counted), pad(moves)],
-                names=["key", "id", "held", "h", "tf", "n_tokens", "n_known", "counted", "moves"],
+                [batch.column(0).take(pa.array(own)), pa.array(key[own]), pa.array(h), pa.array(np.concatenate([np.zeros(n, np.int64), tf])), pad(words.counts().astype(np.int64) + 1), pad(n_known.astype(np.int64)), pad(counted), pad(moves)],
+                names=["id", "key", "h", "tf", "n_tokens", "n_known", "counted", "moves"],
             )
 
 
@@ -447,32 +447,35 @@ def score(df: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: st
     shared = df.sparkSession.sparkContext.broadcast(
         (model.frequent, np.log10(model.frequent_counts + 0.5), model.known, model.label, model.of_shape, model.transition, model.within, half, model.n_ends)
     )
-    rows = df.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
+    # rows are known by their id and text, so that any task may run again; rows that repeat both score alike
+    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(text_col).alias("text"))
     id_type = df.schema[id_col].dataType.simpleString()
-    schema = f"key long, id {id_type}, held boolean, h long, tf long, n_tokens long, n_known long, counted double, moves double"
+    schema = f"id {id_type}, key long, h long, tf long, n_tokens long, n_known long, counted double, moves double"
     parts = rows.mapInArrow(lambda it: _scored(it, shared), schema)
     parts = parts.join(model.counts.select("h", "c"), "h", "left")
     rare = F.col("tf") > 0
     parts = parts.select(
-        "key",
         "id",
-        "held",
+        "key",
         "n_tokens",
+        F.when(rare, 0).otherwise(1).alias("copies"),
         F.when(rare, F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
         F.when(rare, F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).otherwise(F.col("counted")).alias("counted"),
         "moves",
     )
-    out = parts.groupBy("key").agg(
-        F.max("id").alias(id_col), F.max("held").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("counted").alias("counted"), F.sum("moves").alias("moves")
-    )
+    sums = ("copies", "n_known", "counted", "moves")
+    out = parts.groupBy("id", "key").agg(F.max("n_tokens").alias("n_tokens"), *(F.sum(c).alias(c) for c in sums))
+    # a row for each copy again, some at a time
+    some = F.least(F.lit(COPIES_AT_ONCE), F.col("copies") - F.col("at"))
+    out = out.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(COPIES_AT_ONCE)))).withColumn("one", F.explode(F.sequence(F.lit(1), some)))
     return out.select(
-        id_col,
-        "held_out",
+        F.col("id").alias(id_col),
+        held_out(F.col("id")).alias("held_out"),
         "n_tokens",
-        "n_known",
+        (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("counted") - F.col("n_tokens") * F.lit(model.log_total)).alias("base_score"),
-        (F.col("counted") + F.col("moves")).alias("score"),
+        (F.col("counted") / F.col("copies") - F.col("n_tokens") * F.lit(model.log_total)).alias("base_score"),
+        ((F.col("counted") + F.col("moves")) / F.col("copies")).alias("score"),
     )
 
 

@@ -213,8 +213,8 @@ def _grouped(docs: DataFrame, k: int, percent: int, rows: int, miss: float) -> D
 
     named = classes.join(groups, "node", "left").select("c1", "c2", "rep", F.coalesce("component", "node").alias("group"))
     smallest = named.groupBy("group").agg(F.min("rep").alias("smallest"))
-    named = named.join(smallest, "group").drop("rep")
-    out = signed.select("id", "version", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
+    named = join_hot(named, smallest, "group").drop("rep")
+    out = join_hot(signed.select("id", "version", "n", "c1", "c2"), written(named, "named"), "c1", "c2")
     alone = (F.col("n") == 0) | F.col("id").isNull()
     return out.select("id", "version", "n", alone.alias("alone"), F.when(~alone, F.col("group")).alias("group"), F.when(~alone, F.col("smallest")).alias("smallest"))
 
@@ -241,7 +241,7 @@ def without_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     told = written(_grouped(keyed.select(F.col("__id").alias("id"), F.col(text_col).alias("text"), F.col("__version").alias("version")), k, percent, rows, miss), "grouped")
     one = F.min(F.struct("id", "version")).alias("one")
     kept = told.where("NOT alone").groupBy("group").agg(one, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("group", "one")
-    goes = told.where("NOT alone").join(kept, "group").where(F.struct("id", "version") != F.col("one")).select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
+    goes = join_hot(told.where("NOT alone"), written(kept, "kept"), "group").where(F.struct("id", "version") != F.col("one")).select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
     rest = keyed.join(goes, ["__id", "__version"], "left_anti")
     again = told.where("NOT alone").groupBy("id", "version").count().where("count > 1").select(F.col("id").alias("__id"), F.col("version").alias("__version"))
     if again.isEmpty():
