@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hivelake.llm import decontaminate, minmax_dedup, pii_crf, sentencepiece_codec, toxicity
-from hivelake.llm._scratch import written
+from hivelake.llm._scratch import new_path, remove, scratch, written
 from hivelake.llm._workers import importable
 from hivelake.llm.queries import PIECES, table, tokenizer
 
@@ -74,5 +74,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            out = written(stage(spark, docs, sf_dir), name, path=path)
+        remove(docs)
+        docs = out
     return docs
