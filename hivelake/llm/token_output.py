@@ -20,7 +20,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,8 +71,9 @@ class BytePairEncoder:
             spec.get("normalizer") is None and splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space") and not spec["model"].get("dropout") and not spec.get("truncation") and not spec.get("padding")
         )
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.model, self.marks = self.library.model, _byte_marks()
-        self.stops = {c: np.array([self.library.token_to_id(c)], "<u4").tobytes() for c in ".," if self.library.token_to_id(c) is not None}
+        self.pairs, self.marks = self.library.model.tokenize, _byte_marks()
+        self.raw = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.stops = {c: self.raw[self.library.token_to_id(c)] for c in ".," if self.library.token_to_id(c) is not None}
         self.line_end = self.whole("\n")
         self.words: ChunkCache[bytes] = ChunkCache(self._word, REMEMBERED)
 
@@ -81,10 +81,7 @@ class BytePairEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a blank and ``word``, or of a line that begins with ``word``; none of nothing.
-
-        The splitter keeps Latin letters in one, with the blank before them, and a stop after them apart.
-        """
+        """Ids of a blank and ``word``, or of a line that begins with ``word``; none of nothing."""
         if not word:
             return b""
         if word[0] == "\n":
@@ -92,11 +89,18 @@ class BytePairEncoder:
         return self._letters(word, "\u0120") or self.whole(f" {word}")
 
     def _letters(self, word: str, blank: str) -> bytes | None:
-        core, stop = (word[:-1], self.stops[word[-1]]) if word[-1] in self.stops else (word, b"")
-        if not core.isalpha() or not (core.isascii() or max(core) < "\u0250"):
+        """The splitter keeps Latin letters in one, with the blank before them, and a stop after them apart."""
+        stop = self.stops.get(word[-1:])
+        core = word[:-1] if stop else word
+        if not core.isalpha():
             return None
-        marked = core if core.isascii() else core.encode().decode("latin-1").translate(self.marks)
-        return array("I", [t.id for t in self.model.tokenize(blank + marked)]).tobytes() + stop
+        if not core.isascii():
+            if max(core) >= "\u0250":
+                return None
+            core = core.encode().decode("latin-1").translate(self.marks)
+        raw = self.raw
+        ids = b"".join([raw[t.id] for t in self.pairs(blank + core)])
+        return ids + stop if stop else ids
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or not can_cut(text) or any(s in text for s in self.special):
