@@ -121,7 +121,7 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, *, lower: bool) -> Words:
     ends[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     hashed = span_hashes(LOWER[raw] if lower else raw, start, end)
-    row = np.searchsorted(offsets, start, "right") - 1
+    row = np.repeat(np.arange(n_rows), np.diff(np.searchsorted(start, offsets)))
     return Words(raw, start, end, row, hashed, n_rows)
 
 
@@ -158,3 +158,29 @@ def distinct_per_row(values: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple
     parts = [np.unique(values[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), offsets
+
+
+class Lookup:
+    """Places of hashes in an ascending array of hashes, by a table over their first bits."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        self.known = known
+        bits = max(1, (len(known) - 1).bit_length() if len(known) else 1)
+        self.shift = np.uint64(64 - bits)
+        begins = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.begins = np.append(begins, len(known)).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        slot = (hashes >> self.shift).astype(np.int64)
+        at, end = self.begins[slot], self.begins[slot + 1]
+        out = np.full(len(hashes), -1)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = at[open_]
+            hit = self.known[here] == hashes[open_]
+            out[open_[hit]] = here[hit]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        return out

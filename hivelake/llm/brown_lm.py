@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ._sample import from_the_top
 from ._scratch import written
-from ._text import Words, mix, word_slices
+from ._text import Lookup, Words, mix, word_slices
 
 #: Words that seed the classes by exchange clustering, and the classes.
 EXCHANGE_WORDS, EXCHANGE_CLASSES, EXCHANGE_PASSES = 512, 48, 12
@@ -96,14 +96,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(_merged(held))
 
 
-def _places(words: Words, known: np.ndarray) -> np.ndarray:
-    """The place of each word in ``known``, which ascends, or -1."""
-    if not len(known):
-        return np.full(len(words.hash), -1)
-    at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
-    return np.where(known[at] == words.hash, at, -1)
-
-
 def _symbols(words: Words, places: np.ndarray, symbol: np.ndarray, of_shape: np.ndarray) -> np.ndarray:
     """The symbol of each known word, and that of its shape for any other."""
     out = of_shape[shape_of(words)]
@@ -130,7 +122,7 @@ def _bigrams(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[p
     total = np.zeros(size * size, np.int64)
     for batch in batches:
         for _, _, words in word_slices(batch.column(0), lower=True):
-            tokens, before, _ = _with_ends(_symbols(words, _places(words, known), symbol, of_shape), words, size - 1)
+            tokens, before, _ = _with_ends(_symbols(words, known.places(words.hash), symbol, of_shape), words, size - 1)
             total += np.bincount(before * size + tokens, minlength=size * size)
     pair = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(total[pair])], names=["pair", "n"])
@@ -138,7 +130,7 @@ def _bigrams(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[p
 
 def _bigram_matrix(texts: DataFrame, known: np.ndarray, symbol: np.ndarray, of_shape: np.ndarray, size: int) -> np.ndarray:
     """How often each symbol follows each; the last symbol is the end of a text."""
-    shared = texts.sparkSession.sparkContext.broadcast((known, symbol, of_shape, size))
+    shared = texts.sparkSession.sparkContext.broadcast((Lookup(known), symbol, of_shape, size))
     pairs = texts.mapInArrow(lambda it: _bigrams(it, shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size * size)
     out[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
@@ -164,13 +156,13 @@ def _neighbours(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterato
     waiting = 0
     for batch in batches:
         for _, _, words in word_slices(batch.column(0), lower=True):
-            places = _places(words, known)
+            places = known.places(words.hash)
             classes, before, _ = _with_ends(_symbols(words, places, label, of_shape), words, size - 1)
             own, own_before, _ = _with_ends(places, words, -1)
             again = (own >= 0) & (own == own_before)
-            left = np.flatnonzero((own >= 0) & chooses[own] & ~again) if len(known) else np.zeros(0, np.int64)
-            right = np.flatnonzero((own_before >= 0) & chooses[own_before] & ~again) if len(known) else np.zeros(0, np.int64)
-            twice = np.flatnonzero(again & chooses[own]) if len(known) else np.zeros(0, np.int64)
+            left = np.flatnonzero((own >= 0) & chooses[own] & ~again)
+            right = np.flatnonzero((own_before >= 0) & chooses[own_before] & ~again)
+            twice = np.flatnonzero(again & chooses[own])
             keys = np.concatenate([own[left] * codes + before[left], own_before[right] * codes + size + classes[right], own[twice] * codes + 2 * size])
             if len(keys):
                 held.append(np.unique(keys, return_counts=True))
@@ -257,7 +249,7 @@ def _chosen(batches: Iterator[pa.RecordBatch], shared: Broadcast, words: int = 2
 def _assigned(texts: DataFrame, n: np.ndarray, targets: int, known: np.ndarray, label: np.ndarray, of_shape: np.ndarray, chooses: np.ndarray) -> np.ndarray:
     """The labels after every word that ``chooses`` has taken its best class at once."""
     context = texts.sparkSession.sparkContext
-    shared, model = context.broadcast((known, label, of_shape, len(n), chooses)), context.broadcast((n, targets, label))
+    shared, model = context.broadcast((Lookup(known), label, of_shape, len(n), chooses)), context.broadcast((n, targets, label))
     beside = texts.mapInArrow(lambda it: _neighbours(it, shared), "word int, beside short, n long").repartition("word").groupBy("word", "beside").agg(F.sum("n").alias("n"))
     best = beside.sortWithinPartitions("word").mapInArrow(lambda it: _chosen(it, model), "word int, class int").toArrow()
     label = label.copy()
@@ -414,14 +406,11 @@ def _scored(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
         key = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b, words in word_slices(batch.column(2), lower=True):
             n = b - a
-            classes = _symbols(words, _places(words, known), label, of_shape)
+            classes = _symbols(words, known.places(words.hash), label, of_shape)
             tokens, before, rows = _with_ends(classes, words, end_class)
             moves = np.bincount(rows, transition[before, tokens] - within[tokens], n)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, words.hash), len(frequent) - 1)
-                hit = frequent[at] == words.hash
-            else:
-                at, hit = np.zeros(len(words.hash), np.int64), np.zeros(len(words.hash), bool)
+            at = frequent.places(words.hash)
+            hit = at >= 0
             counted = np.bincount(words.row[hit], log_c[at[hit]], n) + log_end
             n_known = np.bincount(words.row[hit], minlength=n) + (ends > 0)
             rare, rare_row = words.hash[~hit], words.row[~hit]
@@ -445,7 +434,7 @@ def score(df: DataFrame, model: BrownModel, id_col: str = "doc_id", text_col: st
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row."""
     half = np.log10(0.5 + model.n_ends)
     shared = df.sparkSession.sparkContext.broadcast(
-        (model.frequent, np.log10(model.frequent_counts + 0.5), model.known, model.label, model.of_shape, model.transition, model.within, half, model.n_ends)
+        (Lookup(model.frequent), np.log10(model.frequent_counts + 0.5), Lookup(model.known), model.label, model.of_shape, model.transition, model.within, half, model.n_ends)
     )
     # rows are known by their id and text, so that any task may run again; rows that repeat both score alike
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(text_col).alias("text"))

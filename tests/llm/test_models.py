@@ -33,7 +33,7 @@ def classes_of(model):
     def of(word):
         raw = np.frombuffer(word.encode(), np.uint8)
         one = _text.words_of(raw, np.array([0, len(raw)]), lower=True)
-        place = brown_lm._places(one, model.known)[0]
+        place = _text.Lookup(model.known).places(one.hash)[0]
         return int(model.label[place]) if place >= 0 else int(model.of_shape[brown_lm.shape_of(one)[0]])
 
     return of
@@ -83,6 +83,15 @@ def test_brown_scores_equal_the_formula_and_sum_to_one(spark):
     assert len(by[3, len(words(rows[3][1])) + 1]) == 3 and len(by[None, 3]) == 2
 
 
+def test_lookup_equals_a_search():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 1000):
+        known = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        asked = np.concatenate([known, known + np.uint64(1), rng.integers(0, 1 << 63, 50, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+        place = {int(k): i for i, k in enumerate(known)}
+        assert _text.Lookup(known).places(asked).tolist() == [place.get(int(x), -1) for x in asked]
+
+
 def test_brown_with_ties_at_the_top(spark):
     """All words as frequent as each other: more of them than places among the exchanged and the frequent ones."""
     rows = [(i, " ".join(f"w{(i + k) % 40}" for k in range(40))) for i in range(40)]
