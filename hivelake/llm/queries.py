@@ -108,6 +108,23 @@ def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_minmax_dedup"] = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), placed AS (SELECT doc_id, len(words) AS size, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut WHERE len(words) > 0),
+runs AS (
+  SELECT doc_id, size, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS shingle
+  FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+), members AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE pos <= greatest(1, size - 4)),
+sized AS (SELECT cut.doc_id, count(shingle) AS n FROM cut LEFT JOIN members ON members.doc_id = cut.doc_id GROUP BY cut.doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM members x JOIN members y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sized UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT sized.doc_id, sized.n AS n_shingles, min(reach.b) AS component_id, sized.doc_id = min(reach.b) AS kept
+FROM sized JOIN reach ON reach.a = sized.doc_id GROUP BY sized.doc_id, sized.n
+"""
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), tokenizer(PIECES))
